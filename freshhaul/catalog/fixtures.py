@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from freshhaul.operators.alerts import alerts
 from freshhaul.operators.cleaning import with_partitions
+from freshhaul.operators.enrich import with_food_ref
 from freshhaul.operators.featurize import core_features, shelf_life
 from freshhaul.operators.windows import latest_by
 from freshhaul.plans.features import hourly_features
@@ -114,7 +115,8 @@ def features(df: DataFrame) -> DataFrame:
 
 def rated(df: DataFrame) -> DataFrame:
     """Cleaned readings with features and remaining shelf life, for the models."""
-    return shelf_life(core_features(cleaned(df, "batch"))).drop("safe_max_c")
+    rows = with_food_ref(df, "batch_median_c", "safe_max_c", "max_shelf_h")
+    return shelf_life(core_features(cleaned(rows, "batch"))).drop("safe_max_c", "max_shelf_h")
 
 
 def fleet(df: DataFrame) -> DataFrame:

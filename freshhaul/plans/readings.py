@@ -18,7 +18,7 @@ from freshhaul.operators.cleaning import (
 )
 from freshhaul.operators.enrich import with_food_ref
 from freshhaul.operators.featurize import breach_flag, core_features, scored
-from freshhaul.schemas import PROCESSED, conform
+from freshhaul.schemas import PROCESSED, SENSOR_CORE, conform
 from freshhaul.sources.kafka import decode_envelope, envelope_of_raw, parse_readings
 
 
@@ -44,7 +44,7 @@ def processed(
     now: Column | None = None,
 ) -> DataFrame:
     """Decoded messages to rows of the processed zone."""
-    timed = with_event_time(parse_readings(decoded))
+    timed = with_event_time(parse_readings(decoded, SENSOR_CORE))
     if watermark:
         timed = timed.withWatermark("event_time", watermark)
     out = scored_readings(dedupe(valid_rows(timed)), model, dim)

@@ -26,6 +26,17 @@ SENSOR_EVENT = _struct(
     temp_deviation=_D, storage_risk_score=_D, spoiled=_I, source=_S,
 )
 
+# The fields that scoring needs: it derives the features anew from clean readings.
+SENSOR_CORE = T.StructType(
+    [
+        SENSOR_EVENT[name]
+        for name in (
+            "event_id", "truck_id", "timestamp", "gps_lat", "gps_lon", "food_name",
+            "temperature", "humidity", "methane", "co2", "storage_days", "spoiled",
+        )
+    ]
+)
+
 ENVELOPE = _struct(value=T.BinaryType(), topic=_S, partition=_I, offset=_L, timestamp=_TS)
 
 RAW = _struct(raw_json=_S, kafka_timestamp=_TS, partition=_I, offset=_L)
