@@ -29,10 +29,11 @@ from freshhaul.operators import (
 )
 from freshhaul.plans import features as feature_plan
 from freshhaul.plans import readings as reading_plan
-from freshhaul.plans import sync
+from freshhaul.plans import report, sync
 from freshhaul.plans.serving import latest_alerts
+from freshhaul.plans.training import train_and_gate
 from freshhaul.reference import FOOD_NAMES, food_ref
-from freshhaul.schemas import CORE_FEATURES, PROCESSED, SENSORS
+from freshhaul.schemas import CORE_FEATURES, PARTITIONS, PROCESSED, SENSORS, duplicate_keys
 from freshhaul.session import scratch_path
 from freshhaul.sinks import files as file_sinks
 from freshhaul.sinks import tables
@@ -560,6 +561,19 @@ def _(df: DataFrame) -> DataFrame:
     return fresh.select("event_id", "event_time", "temperature")
 
 
+@register("jn1_known_among", "SELECT event_id FROM readings WHERE num % 15 = 0")
+def _(df: DataFrame) -> DataFrame:
+    return merge.known_among(fx.known(df), df.filter(fx.number() % 5 == 0))
+
+
+@register(
+    "snk11_duplicate_keys",
+    "SELECT event_id, 2::BIGINT AS copies FROM readings WHERE num % 2 = 1",
+)
+def _(df: DataFrame) -> DataFrame:
+    return duplicate_keys(fx.deliveries(df), "event_id")
+
+
 @register(
     "jn2_lookup",
     "SELECT r.event_id, coalesce(f.safe, 6::DOUBLE) AS safe_max_c, coalesce(f.shelf, 168::DOUBLE) AS max_shelf_h"
@@ -1143,6 +1157,43 @@ def _(df: DataFrame) -> DataFrame:
     return file_sources.read_zone(spark, f"{root}/features").select(*_FEATURE_OUT)
 
 
+@register("pf7_ingest_time", "SELECT event_id, true AS stamped FROM readings")
+def _(df: DataFrame) -> DataFrame:
+    stamped = F.col("ingested_at").isNotNull() & (F.col("ingested_at") <= F.current_timestamp())
+    return cleaning.with_ingest_time(df).select("event_id", stamped.alias("stamped"))
+
+
+@register(
+    "src4_read_zone",
+    f"SELECT event_id, event_time, year, month, day, hour FROM processed WHERE event_time >= {SQL_NOW} - INTERVAL 15 HOURS",
+)
+def _(df: DataFrame) -> DataFrame:
+    zone = file_sources.read_zone(df.sparkSession, _zone(df, scratch_path(df.sparkSession, "zone")))
+    recent = cleaning.lookback(zone, NOW, 15)
+    return ntz(recent, "event_time").select("event_id", "event_time", *PARTITIONS)
+
+
+@register(
+    "jb5_daily_report",
+    "SELECT 'label' AS kind, spoilage_label_name AS name, count(*) AS row_count FROM features GROUP BY 2"
+    " UNION ALL SELECT 'risk', risk_level, count(*) FROM features GROUP BY 2",
+)
+def _(df: DataFrame) -> DataFrame:
+    spark, root = df.sparkSession, scratch_path(df.sparkSession, "daily")
+    file_sinks.write_features(fx.features(df), f"{root}/features")
+    out = report.daily_report(spark, f"{root}/features", f"{root}/runs", NOW)
+    rows = [("label", k, n) for k, n in out["labels"].items()]
+    rows += [("risk", k, n) for k, n in out["risks"].items()]
+    return spark.createDataFrame(rows, "kind string, name string, row_count bigint")
+
+
+@register("jb6_train_and_gate")
+def _(df: DataFrame) -> DataFrame:
+    spark, root = df.sparkSession, scratch_path(df.sparkSession, "training")
+    train_and_gate(spark, df, root, NOW, forest=_FEW_TREES, boosting={"maxIter": 3, "maxDepth": 3})
+    return tables.read_snapshot(spark, f"{root}/registry", "registry")
+
+
 @register("snk5_snk15_verify_features", _LABEL_SUMMARY)
 def _(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "features")

@@ -1,4 +1,4 @@
-"""Dimension lookups and size-checked broadcasts."""
+"""Dimension lookups and joins with aggregates of unknown size."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshhaul.reference import UNKNOWN_FOOD, food_ref
-
-BROADCAST_ROWS = 200_000
+from freshhaul.session import scratch_path
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, defaults: dict[str, float | str]) -> DataFrame:
@@ -35,13 +34,15 @@ def with_food_ref(df: DataFrame, *columns: str, dim: DataFrame | None = None) ->
     return lookup(df, food_ref(df.sparkSession) if dim is None else dim, "food_name", wanted)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the frame has at most ``max_rows`` rows, else the frame as is.
+def settled(df: DataFrame) -> DataFrame:
+    """The frame as a small table in the shared folder.
 
-    For aggregates whose size Catalyst cannot estimate. The frame is persisted,
-    so the check and the join share one computation.
+    For aggregates that a large input is joined with. Their size cannot be
+    estimated, so Catalyst would shuffle the large side. The files of a written
+    table give the exact size: below ``spark.sql.autoBroadcastJoinThreshold`` it
+    is broadcast, beyond that the join is a skew-aware sort-merge join. It also
+    cuts the lineage, so a lost executor does not repeat the aggregation.
     """
-    kept = df.persist()
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    return kept
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

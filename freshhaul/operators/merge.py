@@ -7,11 +7,22 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from freshhaul.operators.enrich import settled
+
 
 def known_ids(df: DataFrame, key: str = "event_id") -> DataFrame:
     return df.filter(F.col(key).isNotNull()).select(key).distinct()
 
 
+def known_among(known: DataFrame, candidates: DataFrame, key: str = "event_id") -> DataFrame:
+    """The stored ids that occur among the candidates.
+
+    A batch is small against the stored table. With its ids settled and
+    broadcast, the stored table is scanned for one column and not shuffled.
+    """
+    return known.select(key).join(settled(known_ids(candidates, key)), key, "left_semi")
+
+
 def first_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The earliest row per key; copies are cut down in each map task before the shuffle."""
     oldest = Window.partitionBy(key).orderBy(*order)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshhaul.operators.enrich import broadcast_if_small
+from freshhaul.operators.enrich import settled
 
 
 def _cells(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -129,7 +129,7 @@ def class_weights(df: DataFrame, y: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, y: str) -> DataFrame:
     weights = class_weights(df, y).drop("n")
-    return df.join(broadcast_if_small(weights), y)
+    return df.join(settled(weights), y)
 
 
 def dataset_shape(df: DataFrame, key: str = "truck_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from freshhaul.operators.enrich import broadcast_if_small
+from freshhaul.operators.enrich import settled
 from freshhaul.schemas import SENSORS
 
 PROFILED = ["temperature", "humidity", "methane", "co2", "food_name", "truck_id"]
@@ -60,7 +60,7 @@ def exact_median(df: DataFrame, key: str, value: str, accuracy: int = 10_000) ->
     bracket = bracket.select(
         key, F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"), "_total"
     )
-    near = rows.join(broadcast_if_small(bracket), key).filter(F.col(value) <= F.col("_high"))
+    near = rows.join(settled(bracket), key).filter(F.col(value) <= F.col("_high"))
     counted = near.groupBy(
         key, "_total", F.when(F.col(value) >= F.col("_low"), F.col(value)).alias("_v")
     ).agg(F.count(F.lit(1)).alias("_n"))

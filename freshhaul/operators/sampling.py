@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshhaul.operators.enrich import broadcast_if_small
+from freshhaul.operators.enrich import settled
 
 
 def top_n(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
@@ -73,7 +73,7 @@ def stratified_split(
         )
         .select(label, "_cut", (F.col("_quota") - F.col("_below")).alias("_take"))
     )
-    marked = hashed.join(broadcast_if_small(cuts), label)
+    marked = hashed.join(settled(cuts), label)
     decided = marked.filter(F.col("_slice") != F.col("_cut")).withColumn(
         "split", F.when(F.col("_slice") < F.col("_cut"), "test").otherwise("train")
     )

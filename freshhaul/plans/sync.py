@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from freshhaul.operators.alerts import to_alert_rows
 from freshhaul.operators.cleaning import lookback
-from freshhaul.operators.merge import new_only
+from freshhaul.operators.merge import known_among, new_only
 from freshhaul.operators.windows import latest_by
 from freshhaul.reference import (
     ALERT_LOOKBACK_HOURS,
@@ -25,7 +25,7 @@ from freshhaul.sources.files import read_zone_or_none
 def new_alerts(zone: DataFrame, stored: DataFrame, now: datetime, hours: float) -> DataFrame:
     """Rows to insert: recent alerts whose event is not stored yet."""
     recent = lookback(zone, now, hours)
-    return to_alert_rows(new_only(recent, stored), now)
+    return to_alert_rows(new_only(recent, known_among(stored, recent)), now)
 
 
 def fleet_snapshot(recent: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def sync_fleet(
             return {"history_rows": 0, "removed": []}
         upsert_table(spark, fleet_path, "fleet_status", fleet_snapshot(recent), "event_time", now)
         stored = read_log(spark, history_path, "sensor_history").select("event_id")
-        fresh = new_only(recent.select(*HISTORY_COLUMNS), stored)
+        fresh = new_only(recent.select(*HISTORY_COLUMNS), known_among(stored, recent))
         inserted = _append_counted(fresh, history_path, "event_time")
     finally:
         recent.unpersist()

@@ -18,6 +18,7 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.streaming.stopGracefullyOnShutdown": "true",
 }
 
