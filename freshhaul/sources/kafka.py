@@ -43,23 +43,21 @@ def read_envelope_files(
     return reader.format(fmt).load(path)
 
 
+def _decoded(df: DataFrame, body: str, names: dict[str, str]) -> DataFrame:
+    kept = [F.col(old).alias(new) for old, new in names.items()]
+    return df.select(F.col("value").cast("string").alias(body), *kept)
+
+
 def decode_envelope(df: DataFrame) -> DataFrame:
-    return df.selectExpr(
-        "CAST(value AS STRING) AS json_str",
-        "timestamp AS kafka_timestamp",
-        "partition AS kafka_partition",
-        "offset AS kafka_offset",
-    )
+    """Message text, arrival time and position in the topic."""
+    names = {c: f"kafka_{c}" for c in ("timestamp", "partition", "offset")}
+    return _decoded(df, "json_str", names)
 
 
 def raw_rows(df: DataFrame) -> DataFrame:
     """The landing rows, before any cleaning."""
-    return df.selectExpr(
-        "CAST(value AS STRING) AS raw_json",
-        "timestamp AS kafka_timestamp",
-        "partition",
-        "offset",
-    )
+    names = {"timestamp": "kafka_timestamp", "partition": "partition", "offset": "offset"}
+    return _decoded(df, "raw_json", names)
 
 
 def envelope_of_raw(df: DataFrame) -> DataFrame:

@@ -314,3 +314,45 @@ def test_serving_views(spark, readings):
     assert counts["alerts"] == 40 and views["alert_counts"].first()["total"] == 40
     assert counts["kpis"] == counts["fleet_freshness"] == counts["alert_freshness"] == 1
     assert views["temperature_histogram"].agg(F.sum("row_count")).first()[0] == 15
+
+
+def test_jdbc_sync_requests(spark, zone, readings, tmp_path, monkeypatch):
+    """What the database jobs ask for; no database is involved."""
+    from freshhaul.plans import sync_jdbc
+
+    stored = readings.select("event_id").filter(fx.number() % 3 == 0)
+    sent, ran = {}, []
+    monkeypatch.setattr(sync_jdbc, "read_known_ids", lambda *a: stored)
+    monkeypatch.setattr(sync_jdbc, "append_jdbc", lambda df, url, table, props: sent.update({table: df.collect()}))
+    monkeypatch.setattr(sync_jdbc, "stage_jdbc", lambda df, url, table, props: sent.update({table: df.collect()}))
+    monkeypatch.setattr(sync_jdbc, "execute", lambda s, url, statements, props: ran.extend(statements))
+    sync_jdbc.sync_fleet_jdbc(spark, zone, "jdbc:x", "fleet", "history", {}, NOW, hours=37)
+    assert len(sent["fleet_staging"]) == 15
+    assert len(sent["history"]) == readings.filter(fx.number() % 3 != 0).count()
+    assert [s.split()[0] for s in ran] == ["INSERT", "DROP", "DELETE"]
+    alert_zone = str(tmp_path / "alerts")
+    df = fx.alert_zone(readings).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    df.write.partitionBy("year", "month", "day").parquet(alert_zone)
+    sync_jdbc.sync_alerts_jdbc(spark, alert_zone, "jdbc:x", "alerts", {}, NOW, hours=37)
+    assert len(sent["alerts"]) == df.filter(fx.number() % 3 != 0).count() > 0
+
+
+def test_command_line(spark, zone, tmp_path, monkeypatch, capsys):
+    import run_job
+
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    monkeypatch.setattr(run_job, "build_session", lambda app: spark)
+    folder = {n: str(tmp_path / n) for n in ("features", "reports", "runs", "fleet", "history")}
+
+    def run(*words):
+        monkeypatch.setattr("sys.argv", ["run_job.py", "--now", "2024-02-01T12:00:00", *words])
+        run_job.main()
+        return capsys.readouterr().out
+
+    out = run("features", "--processed", zone, "--features", folder["features"], "--reports",
+              folder["reports"], "--hours", "36", "--runs", folder["runs"])
+    assert "'input_rows': 1000" in out
+    assert "'status': 'success'" in run("report", "--features", folder["features"], "--runs", folder["runs"])
+    assert "history_rows" in run("fleet", "--processed", zone, "--fleet", folder["fleet"],
+                                 "--history", folder["history"], "--hours", "30")
+    assert "'inserted': 0" in run("alerts", "--alerts", folder["history"] + "/none", "--table", folder["runs"])
