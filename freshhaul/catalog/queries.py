@@ -561,9 +561,13 @@ def _(df: DataFrame) -> DataFrame:
     return fresh.select("event_id", "event_time", "temperature")
 
 
-@register("jn1_known_among", "SELECT event_id FROM readings WHERE num % 15 = 0")
+@register(
+    "jn1_known_among",
+    f"SELECT event_id FROM readings WHERE num % 3 = 0 AND event_time >= {SQL_NOW} - INTERVAL 20 HOURS",
+)
 def _(df: DataFrame) -> DataFrame:
-    return merge.known_among(fx.known(df), df.filter(fx.number() % 5 == 0))
+    recent = cleaning.lookback(cleaning.with_partitions(df), NOW, 20)
+    return merge.known_among(fx.known(df), recent)
 
 
 @register(

@@ -26,7 +26,7 @@ from freshhaul.reference import DEMO_TRUCK
 from freshhaul.schemas import FEATURES, conform
 from freshhaul.sinks.files import write_features, write_report
 from freshhaul.sinks.tables import append_rows, run_log
-from freshhaul.sources.files import or_else, read_readings_csv, read_zone_or_none
+from freshhaul.sources.files import read_readings_csv, read_zone_or_none
 
 
 def hourly_features(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
@@ -68,10 +68,10 @@ def feature_build(
     run_id = now.strftime("batch_%Y%m%d_%H%M%S")
     zone = read_zone_or_none(spark, processed_path)
     source = None if zone is None else feature_window(zone, now, hours, mode)
-    if fallback_csv is not None:
-        source = or_else(source, read_readings_csv(spark, fallback_csv, stamp_now=True))
-    if source is None:
-        return {"run_id": run_id, "input_rows": 0, "output_rows": 0, "quality": {}}
+    if source is None or source.isEmpty():
+        if fallback_csv is None:
+            return {"run_id": run_id, "input_rows": 0, "output_rows": 0, "quality": {}}
+        source = read_readings_csv(spark, fallback_csv, stamp_now=True)
 
     observed, nulls = observe_quality(source)
     features = hourly_features(observed).persist(StorageLevel.MEMORY_AND_DISK)

@@ -22,9 +22,8 @@ from freshhaul.sinks.tables import append_rows, drop_expired_days, read_log, ups
 from freshhaul.sources.files import read_zone_or_none
 
 
-def new_alerts(zone: DataFrame, stored: DataFrame, now: datetime, hours: float) -> DataFrame:
+def new_alerts(recent: DataFrame, stored: DataFrame, now: datetime) -> DataFrame:
     """Rows to insert: recent alerts whose event is not stored yet."""
-    recent = lookback(zone, now, hours)
     return to_alert_rows(new_only(recent, known_among(stored, recent)), now)
 
 
@@ -48,10 +47,11 @@ def sync_alerts(
 ) -> int:
     """Insert new alerts; returns how many. No zone yet: nothing to do."""
     zone = read_zone_or_none(spark, alerts_path)
-    if zone is None:
+    recent = None if zone is None else lookback(zone, now, hours)
+    if recent is None or recent.isEmpty():
         return 0
     stored = read_log(spark, table_path, "alerts").select("event_id")
-    return _append_counted(new_alerts(zone, stored, now, hours), table_path, "created_at")
+    return _append_counted(new_alerts(recent, stored, now), table_path, "created_at")
 
 
 def sync_fleet(

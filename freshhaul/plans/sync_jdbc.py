@@ -39,10 +39,11 @@ def sync_alerts_jdbc(
 ) -> None:
     """Append alerts whose event id the table does not hold; the ids come by a pushed-down query."""
     zone = read_zone_or_none(spark, alerts_path)
-    if zone is None:
+    recent = None if zone is None else lookback(zone, now, hours)
+    if recent is None or recent.isEmpty():
         return
     stored = read_known_ids(spark, url, table, props)
-    append_jdbc(new_alerts(zone, stored, now, hours), url, table, props)
+    append_jdbc(new_alerts(recent, stored, now), url, table, props)
 
 
 def sync_fleet_jdbc(

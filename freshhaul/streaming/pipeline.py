@@ -100,11 +100,16 @@ def stream_pipeline(
     return queries
 
 
-def await_any(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
-    """Wait until one query ends or fails, then stop the others."""
+def await_any(spark: SparkSession, queries: dict[str, StreamingQuery], every: int = 10) -> None:
+    """Wait until one of the queries ends, stop the others, and raise its error if it failed."""
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries.values()):
+            spark.streams.resetTerminated()  # forget queries of earlier runs
+            spark.streams.awaitAnyTermination(every)
     finally:
         for query in queries.values():
             if query.isActive:
                 query.stop()
+    for query in queries.values():
+        if query.exception() is not None:
+            raise query.exception()

@@ -131,3 +131,17 @@ def test_model_can_score_a_stream(spark, readings, tmp_path):
     columns = ["event_id", "ml_predicted_class", "prob_spoiled", "risk_level"]
     assert zone.select(*columns).exceptAll(batch.select(*columns)).count() == 0
     assert zone.agg(F.count_distinct("prob_spoiled")).first()[0] > 3
+
+
+def test_await_any_stops_the_others(spark, tmp_path):
+    source, paths = str(tmp_path / "in"), paths_in(tmp_path)
+    deliver(spark, source, [message("a", "2024-02-01 03:00:00")])
+    stream = read_envelope_files(spark, source)
+    queries = {
+        "short": pipeline.start_raw(stream, paths["raw"], str(tmp_path / "c1"), ONCE),
+        "long": pipeline.start_processed(
+            process_messages(stream), paths["processed"], str(tmp_path / "c2"), {"processingTime": "1 second"}
+        ),
+    }
+    pipeline.await_any(spark, queries, every=1)
+    assert not any(query.isActive for query in queries.values())

@@ -356,3 +356,15 @@ def test_command_line(spark, zone, tmp_path, monkeypatch, capsys):
     assert "history_rows" in run("fleet", "--processed", zone, "--fleet", folder["fleet"],
                                  "--history", folder["history"], "--hours", "30")
     assert "'inserted': 0" in run("alerts", "--alerts", folder["history"] + "/none", "--table", folder["runs"])
+
+
+def test_jobs_with_an_empty_window(spark, zone, readings, tmp_path):
+    """The zones exist but hold nothing recent: clean no-ops."""
+    later = NOW + timedelta(days=30)
+    folder = {n: str(tmp_path / n) for n in ("features", "reports", "fleet", "history", "alerts", "table")}
+    out = feature_plan.feature_build(spark, zone, folder["features"], folder["reports"], later)
+    assert (out["input_rows"], out["output_rows"]) == (0, 0)
+    assert sync.sync_fleet(spark, zone, folder["fleet"], folder["history"], later)["history_rows"] == 0
+    df = fx.alert_zone(readings).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    df.write.partitionBy("year", "month", "day").parquet(folder["alerts"])
+    assert sync.sync_alerts(spark, folder["alerts"], folder["table"], later) == 0
