@@ -33,19 +33,24 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+_LOCAL: dict[str, str] = {}  # application id -> temporary folder, without a cluster setting
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables that cut lineage: ``spark.checkpoint.dir``.
 
     A temporary folder is used only when the setting is absent, as in local tests.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+    )
     if not root:
-        root = tempfile.mkdtemp(prefix="freshhaul-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="freshhaul-")
+        root = _LOCAL[context.applicationId]
     return root.rstrip("/")
 
 
