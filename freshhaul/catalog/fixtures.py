@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshhaul.functions.times import moment
 from freshhaul.operators.alerts import alerts
 from freshhaul.operators.cleaning import with_partitions
 from freshhaul.operators.enrich import with_food_ref
@@ -126,7 +127,7 @@ def fleet(df: DataFrame) -> DataFrame:
 
 def fleet_before(df: DataFrame) -> DataFrame:
     """The stored fleet table: state at 18:00 of the first day, a seventh of the trucks absent."""
-    early = df.filter(F.col("event_time") < F.lit(datetime(2024, 1, 31, 18)).cast("timestamp_ntz"))
+    early = df.filter(F.col("event_time") < moment(datetime(2024, 1, 31, 18), "timestamp_ntz"))
     return fleet(early).filter(truck_number() % 7 != 0)
 
 

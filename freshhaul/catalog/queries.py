@@ -12,6 +12,7 @@ from freshhaul.catalog import fixtures as fx
 from freshhaul.catalog.fixtures import NOW
 from freshhaul.catalog.oracle import NOW as SQL_NOW
 from freshhaul.catalog.oracle import query, rnd
+from freshhaul.functions.times import moment
 from freshhaul.models import classifier, shelf_life
 from freshhaul.operators import (
     alerts,
@@ -146,7 +147,7 @@ def _(df: DataFrame) -> DataFrame:
 
 @register("src6_or_else", "SELECT event_id, temperature FROM readings")
 def _(df: DataFrame) -> DataFrame:
-    empty = df.filter(F.col("event_time") > F.lit(NOW + timedelta(days=9)).cast("timestamp_ntz"))
+    empty = df.filter(F.col("event_time") > moment(NOW + timedelta(days=9), "timestamp_ntz"))
     return file_sources.or_else(empty, df).select("event_id", "temperature")
 
 
@@ -212,7 +213,7 @@ def _(df: DataFrame) -> DataFrame:
             "event_time": F.when(fx.number() % 5 != 0, F.col("event_time")),
         }
     )
-    out = cleaning.with_partitions(partial, F.lit(NOW).cast("timestamp_ntz"))
+    out = cleaning.with_partitions(partial, moment(NOW, "timestamp_ntz"))
     return out.select("event_id", "year", "month", "day", "hour")
 
 

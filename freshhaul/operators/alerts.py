@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshhaul.functions import rules
+from freshhaul.functions.times import moment
 from freshhaul.reference import ALERT_THRESHOLD
 
 
@@ -37,7 +38,7 @@ def alerts(df: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
 
 def to_alert_rows(df: DataFrame, created_at: datetime | None = None) -> DataFrame:
     """Rows of the alert table. Its ``spoilage_prob`` holds the risk score, by contract."""
-    made = F.current_timestamp() if created_at is None else F.lit(created_at)
+    made = F.current_timestamp() if created_at is None else moment(created_at)
     return df.select(
         "event_id", "truck_id", "food_name", "temperature", "methane", "co2", "storage_days",
         F.col("storage_risk_score").alias("spoilage_prob"),

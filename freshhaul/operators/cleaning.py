@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshhaul.functions.times import moment
 from freshhaul.operators.enrich import with_food_ref
 from freshhaul.reference import DEFAULT_FOOD, FILLS, RANGES, UNKNOWN_FOOD
 
@@ -72,13 +73,13 @@ def ensure_column(df: DataFrame, name: str, default: str) -> DataFrame:
 def with_partitions(df: DataFrame, now: Column | None = None) -> DataFrame:
     """Add year, month, day, hour from event time, else arrival time, else ``now``."""
     times = [F.col(n) for n in ("event_time", "kafka_timestamp") if n in df.columns]
-    moment = F.coalesce(*times, F.current_timestamp() if now is None else now)
+    at = F.coalesce(*times, F.current_timestamp() if now is None else now)
     return df.withColumns(
         {
-            "year": F.coalesce(F.year(moment), F.lit(2026)),
-            "month": F.coalesce(F.month(moment), F.lit(1)),
-            "day": F.coalesce(F.dayofmonth(moment), F.lit(1)),
-            "hour": F.coalesce(F.hour(moment), F.lit(0)),
+            "year": F.coalesce(F.year(at), F.lit(2026)),
+            "month": F.coalesce(F.month(at), F.lit(1)),
+            "day": F.coalesce(F.dayofmonth(at), F.lit(1)),
+            "hour": F.coalesce(F.hour(at), F.lit(0)),
         }
     )
 
@@ -106,5 +107,5 @@ def lookback(df: DataFrame, now: datetime, hours: float, mode: str = "event_time
         raise ValueError(f"unknown look-back mode: {mode}")
     return df.filter(
         (F.make_date(year, month, day) >= F.lit(cutoff.date()))
-        & (F.col("event_time") >= F.lit(cutoff).cast(df.schema["event_time"].dataType))
+        & (F.col("event_time") >= moment(cutoff, df.schema["event_time"].dataType))
     )

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from freshhaul.functions.times import moment
 from freshhaul.operators.enrich import settled
 
 
@@ -59,9 +60,9 @@ def upsert(
     is_new = F.col(f"old.{key}").isNull()
     differs = ~F.col(f"old.{changed_on}").eqNullSafe(F.col(f"new.{changed_on}"))
     take = F.col(f"new.{key}").isNotNull() & (is_new | differs)
-    moment = F.lit(now).cast(target.schema[stamp].dataType)
+    written = moment(now, target.schema[stamp].dataType)
     columns = [
-        F.when(take, moment).otherwise(F.col(f"old.{stamp}")).alias(stamp)
+        F.when(take, written).otherwise(F.col(f"old.{stamp}")).alias(stamp)
         if name == stamp
         else F.when(take, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
         for name in target.columns
@@ -72,5 +73,5 @@ def upsert(
 
 def prune(df: DataFrame, now: datetime, hours: float, column: str = "event_time") -> DataFrame:
     """Rows that a ``DELETE ... WHERE column < now - hours`` would leave."""
-    cutoff = F.lit(now - timedelta(hours=hours)).cast(df.schema[column].dataType)
+    cutoff = moment(now - timedelta(hours=hours), df.schema[column].dataType)
     return df.filter(F.col(column).isNull() | (F.col(column) >= cutoff))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshhaul.functions import rules
+from freshhaul.functions.times import moment
 from freshhaul.reference import SEED_TRUCK, STALE_AFTER_MINUTES
 
 
@@ -36,7 +37,7 @@ def drop_seed_rows(df: DataFrame) -> DataFrame:
 
 
 def truck_history(df: DataFrame, truck_id: str, now: datetime, hours: float = 24) -> DataFrame:
-    since = F.lit(now - timedelta(hours=hours)).cast(df.schema["event_time"].dataType)
+    since = moment(now - timedelta(hours=hours), df.schema["event_time"].dataType)
     return (
         df.filter((F.col("truck_id") == truck_id) & (F.col("event_time") >= since))
         .select(F.col("event_time").alias("timestamp"), "temperature", "humidity", "methane", "co2")
@@ -117,7 +118,7 @@ def freshness(
 ) -> DataFrame:
     """Newest time, rows, minutes behind ``now`` and whether that is within bounds."""
     newest = df.agg(F.max(ts).alias("last_update"), F.count(F.lit(1)).alias("row_count"))
-    at = F.lit(now).cast(df.schema[ts].dataType)
+    at = moment(now, df.schema[ts].dataType)
     minutes = F.timestamp_diff("MICROSECOND", F.col("last_update"), at) / F.lit(60_000_000.0)
     return newest.withColumn("minutes_behind", minutes).withColumn(
         "is_fresh", F.col("minutes_behind") <= max_minutes

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshhaul import storage
+from freshhaul.functions.times import moment
 from freshhaul.operators.cleaning import with_partitions
 from freshhaul.operators.merge import prune, upsert
 from freshhaul.schemas import MODEL_METRICS, PIPELINE_RUNS, TABLE_KEYS, conform
@@ -128,8 +129,8 @@ def run_log(
     run_at: datetime,
 ) -> DataFrame:
     """One row about a finished run."""
-    row = (dag_id, run_id, status, rows, seconds, run_at)
-    return spark.createDataFrame([row], PIPELINE_RUNS)
+    row = (dag_id, run_id, status, rows, seconds, None)
+    return spark.createDataFrame([row], PIPELINE_RUNS).withColumn("run_at", moment(run_at))
 
 
 def append_metrics(df: DataFrame, path: str) -> None:

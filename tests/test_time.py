@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
+from freshhaul.functions.times import moment
 from freshhaul.operators import cleaning
 from freshhaul.plans.features import feature_window
 from freshhaul.sources.files import read_zone
@@ -77,3 +78,22 @@ def test_partition_columns_fall_back(spark):
     nothing = F.lit(None).cast("timestamp")
     row = cleaning.with_partitions(df, nothing).first()
     assert (row["year"], row["month"], row["day"], row["hour"]) == (2026, 1, 1, 0)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_times_are_wall_clock_of_the_session(spark, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = spark.createDataFrame([("2024-01-31 12:00:00",), ("2024-01-31 11:59:59",)], "t string")
+        df = cleaning.with_partitions(texts.select(F.col("t").cast(kind).alias("event_time")))
+        recent = cleaning.lookback(df, datetime(2024, 2, 1, 12), 24)
+        got = recent.select(F.col("event_time").cast("string"), "day", "hour").collect()
+        assert [tuple(r) for r in got] == [("2024-01-31 12:00:00", 31, 12)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_aware_times_are_refused():
+    with pytest.raises(ValueError, match="wall clock"):
+        moment(datetime(2024, 1, 1, tzinfo=timezone.utc))
