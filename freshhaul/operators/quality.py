@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshhaul.operators.enrich import settled
@@ -35,12 +35,26 @@ def quality(df: DataFrame) -> DataFrame:
     return long.select("column_name", "null_count", pct.alias("null_pct"), "total_rows")
 
 
-def observe_quality(df: DataFrame, name: str = "quality") -> tuple[DataFrame, Observation]:
-    """The same counts, gathered while another action runs: no extra scan."""
-    seen = Observation(name)
-    return df.observe(
-        seen, F.count(F.lit(1)).alias("total_rows"), *_null_counts(df)
-    ), seen
+def with_null_flags(df: DataFrame) -> DataFrame:
+    """Mark what is missing before imputation fills it, for counts in a later aggregate."""
+    return df.withColumns(
+        {
+            f"_no_{n}": F.col(n).isNull() if n in df.columns else F.lit(False)
+            for n in PROFILED
+        }
+    )
+
+
+def flagged_nulls() -> list[Column]:
+    """Counts of the flags, to go along with another aggregate over the same rows."""
+    return [F.count_if(f"_no_{n}").alias(f"_no_{n}") for n in PROFILED]
+
+
+def null_totals(groups: DataFrame) -> DataFrame:
+    """One row: the flag counts of all groups summed up."""
+    return groups.agg(
+        *[F.coalesce(F.sum(f"_no_{n}"), F.lit(0)).alias(n) for n in PROFILED]
+    )
 
 
 def exact_median(df: DataFrame, key: str, value: str, accuracy: int = 10_000) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,14 @@ def _arrival_rank(df: DataFrame) -> Column:
     return F.shiftleft(micros, 11).bitwiseOR(tie)
 
 
-def hourly(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+def hourly(
+    df: DataFrame, dim: DataFrame | None = None, extra: Sequence[Column] = ()
+) -> DataFrame:
     """Per truck, food and hour: sensor aggregates, breaches, last position, worst label.
 
     Needs event_time and the year/month/day/hour columns. Every aggregate is
     combined on the map side, so a truck or food holding much of the input
-    shuffles one row per hour and task.
+    shuffles one row per hour and task. ``extra`` adds aggregates of the same pass.
     """
     rated = with_food_ref(df, "safe_max_c", dim=dim)
     time_type = df.schema["event_time"].dataType
@@ -63,6 +67,7 @@ def hourly(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
             F.max_by("gps_lat", lat_at).alias("last_lat"),
             F.max_by("gps_lon", lon_at).alias("last_lon"),
             F.max("spoiled").alias("spoiled"),
+            *extra,
         )
     )
 

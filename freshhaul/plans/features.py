@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 from time import monotonic
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshhaul.operators.cleaning import ensure_column, lookback
@@ -18,7 +19,7 @@ from freshhaul.operators.featurize import (
     one_hot,
     risk_tiers,
 )
-from freshhaul.operators.quality import observe_quality
+from freshhaul.operators.quality import flagged_nulls, null_totals, with_null_flags
 from freshhaul.operators.rollup import distribution, food_risk, hourly
 from freshhaul.operators.sampling import top_n
 from freshhaul.plans.readings import cleaned
@@ -29,9 +30,15 @@ from freshhaul.sinks.tables import append_rows, run_log
 from freshhaul.sources.files import read_readings_csv, read_zone_or_none
 
 
-def hourly_features(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
-    """Readings (with partition columns) to rows of the feature table."""
-    hours = hourly(cleaned(ensure_column(df, "truck_id", DEMO_TRUCK), "batch", dim), dim)
+def hour_groups(
+    df: DataFrame, dim: DataFrame | None = None, extra: Sequence[Column] = ()
+) -> DataFrame:
+    """Readings (with partition columns), cleaned and rolled up by hour."""
+    return hourly(cleaned(ensure_column(df, "truck_id", DEMO_TRUCK), "batch", dim), dim, extra)
+
+
+def features_of_hours(hours: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Rolled-up hours to rows of the feature table."""
     rated = core_features(
         hours, "temp_avg", "humidity_avg", "methane_avg", "co2_avg", "storage_days", "temp_max", dim
     )
@@ -39,6 +46,10 @@ def hourly_features(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     return conform(one_hot(risk_tiers(labelled)), FEATURES)
 
 
+def hourly_features(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    return features_of_hours(hour_groups(df, dim), dim)
+
+
 def feature_window(df: DataFrame, now: datetime, hours: float, mode: str = "event_time") -> DataFrame:
     """Look-back whose start is rounded down to the hour.
 
@@ -61,8 +72,9 @@ def feature_build(
 ) -> dict:
     """Build, write and report the features of the last ``hours``.
 
-    One pass over the input: the null profile and the row counts are observed
-    while the features are written; reports read the persisted aggregate.
+    The input is read once. The null profile and the row counts are aggregates
+    of the same pass, summed up from the persisted hours; they do not count
+    twice when a lost executor's tasks run again, as accumulators may.
     """
     started = monotonic()
     run_id = now.strftime("batch_%Y%m%d_%H%M%S")
@@ -73,31 +85,33 @@ def feature_build(
             return {"run_id": run_id, "input_rows": 0, "output_rows": 0, "quality": {}}
         source = read_readings_csv(spark, fallback_csv, stamp_now=True)
 
-    observed, nulls = observe_quality(source)
-    features = hourly_features(observed).persist(StorageLevel.MEMORY_AND_DISK)
-    written = Observation("features")
-    counted = features.observe(written, F.count(F.lit(1)).alias("n"))
+    hours_seen = hour_groups(with_null_flags(source), extra=flagged_nulls())
+    hours_seen = hours_seen.persist(StorageLevel.MEMORY_AND_DISK)
+    features = features_of_hours(hours_seen)
+    report = f"{reports_path}/batch_report_{run_id}"
     try:
-        write_features(counted, features_path)
-        profile, output_rows = nulls.get, written.get["n"]
-        report = f"{reports_path}/batch_report_{run_id}"
+        write_features(features, features_path)
+        counts = hours_seen.agg(
+            F.count(F.lit(1)).alias("hours"), F.sum("readings_count").alias("readings")
+        ).first()
+        profile = null_totals(hours_seen).first().asDict()
         risks = food_risk(features)
         write_report(distribution(features, "spoilage_label_name"), f"{report}/label_distribution")
         write_report(distribution(features, "risk_level"), f"{report}/risk_distribution")
         write_report(risks, f"{report}/food_risk_summary")
         riskiest = top_n(risks, [F.desc("avg_risk_score"), "food_name"], 5).collect()
     finally:
-        features.unpersist()
+        hours_seen.unpersist()
     if runs_path is not None:
         seconds = int(monotonic() - started)
         append_rows(
-            run_log(spark, "feature_build", run_id, "success", output_rows, seconds, now), runs_path
+            run_log(spark, "feature_build", run_id, "success", counts["hours"], seconds, now), runs_path
         )
     return {
         "run_id": run_id,
-        "input_rows": profile["total_rows"],
-        "output_rows": output_rows,
-        "quality": {name: n for name, n in profile.items() if name != "total_rows"},
+        "input_rows": counts["readings"],
+        "output_rows": counts["hours"],
+        "quality": profile,
         "riskiest_foods": [row["food_name"] for row in riskiest],
         "report_path": report,
     }

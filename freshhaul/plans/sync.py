@@ -33,6 +33,7 @@ def fleet_snapshot(recent: DataFrame) -> DataFrame:
 
 
 def _append_counted(df: DataFrame, path: str, time: str) -> int:
+    """Append and count in the writing stage, whose tasks are counted once even when re-run."""
     seen = Observation()
     append_rows(df.observe(seen, F.count(F.lit(1)).alias("n")), path, time)
     return seen.get["n"]

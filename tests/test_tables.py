@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshhaul.catalog import fixtures as fx
-from freshhaul.operators import cleaning, merge
+from freshhaul.operators import cleaning, merge, quality
 from freshhaul.plans import features as feature_plan
 from freshhaul.plans import report, serving, sync
 from freshhaul.schemas import (
@@ -250,6 +250,14 @@ def test_feature_build(spark, zone, readings, tmp_path):
     assert file_sinks.verify_features(spark, paths[0]).count() >= 2
 
 
+def test_feature_build_profiles_the_input(spark, readings, tmp_path):
+    raw = str(tmp_path / "raw")
+    cleaning.with_partitions(fx.dirty(readings)).write.partitionBy("year", "month", "day").parquet(raw)
+    out = feature_plan.feature_build(spark, raw, str(tmp_path / "f"), str(tmp_path / "r"), NOW, hours=36)
+    expected = {n: fx.dirty(readings).filter(F.col(n).isNull()).count() for n in quality.PROFILED}
+    assert out["quality"] == expected and all(expected.values())
+
+
 def test_feature_build_falls_back_or_stops(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("zone", "features", "reports")]
     assert feature_plan.feature_build(spark, *paths, NOW)["input_rows"] == 0
