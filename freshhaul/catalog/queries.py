@@ -1024,10 +1024,10 @@ def _(df: DataFrame) -> DataFrame:
     return shelf_life.predict_latest(scaled, model)
 
 
-@register("ml4_permutation_importance")
+@register("ml4_importance")
 def _(df: DataFrame) -> DataFrame:
     rows = fx.rated(df)
-    return classifier.permutation_importance(rows, classifier.train_classifier(rows, **_FEW_TREES))
+    return classifier.importance(classifier.train_classifier(rows, **_FEW_TREES), rows)
 
 
 @register_raw(

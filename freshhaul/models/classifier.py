@@ -130,3 +130,11 @@ def permutation_importance(
         .filter(F.col("k") >= 0)
         .select(F.get(named, F.col("k")).alias("feature"), "accuracy_loss")
     )
+
+
+def importance(
+    model: PipelineModel, df: DataFrame, label: str = "spoiled", n: int = 500
+) -> DataFrame:
+    """Both importances of each input, side by side."""
+    in_splits = split_importance(df.sparkSession, model)
+    return in_splits.join(permutation_importance(df, model, label, n), "feature")

@@ -23,10 +23,16 @@ def last_rows(df: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
 
 
 def last_n(
-    df: DataFrame, key: str, order: list[str], n: int, columns: list[str], out: str = "readings"
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    n: int,
+    columns: list[str] | None = None,
+    out: str = "readings",
 ) -> DataFrame:
     """Per key an array of its last ``n`` rows, oldest first; keys with fewer are left out."""
-    packed = F.struct(F.col("_rn").alias("age"), *columns)
+    columns = columns or [name for name in df.columns if name != key]
+    packed = F.struct("_rn", *columns)
     arrays = (
         last_rows(df, key, order, n)
         .groupBy(key)
