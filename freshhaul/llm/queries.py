@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 from freshhaul.llm.common import table
 from freshhaul.llm.exact_dedup import exact_groups
 from freshhaul.llm.mixing import mix
+from freshhaul.llm.quality_classifier import quality_scores
 from freshhaul.llm.sql import EXACT_DEDUP, MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -28,6 +36,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op6_mix_sources": op6_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
 }
