@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshhaul.llm.byte_bpe import encode_documents
 from freshhaul.llm.common import table
 from freshhaul.llm.exact_dedup import exact_groups
 from freshhaul.llm.mixing import mix
 from freshhaul.llm.quality_classifier import quality_scores
 from freshhaul.llm.sql import EXACT_DEDUP, MIX
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,6 +27,18 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    )
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -37,6 +53,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
 }
