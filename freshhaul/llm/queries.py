@@ -12,6 +12,7 @@ from freshhaul.llm.byte_bpe import encode_documents
 from freshhaul.llm.common import table
 from freshhaul.llm.exact_dedup import exact_groups
 from freshhaul.llm.mixing import mix
+from freshhaul.llm.ngram_join import Rule, ngram_components
 from freshhaul.llm.quality_classifier import quality_scores
 from freshhaul.llm.sql import EXACT_DEDUP, MIX
 
@@ -27,6 +28,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), Rule(words=4, percent=85)).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
@@ -53,6 +60,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_ngram_join": op3_ngram_join,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
