@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from freshhaul.llm.common import text_of
 
 #: Characters of text whose words are replayed together; a longer text is a corpus by itself.
-CORPUS = 4_000_000
+CORPUS = 1_000_000
 #: Encoded words that a task keeps for its next texts.
-CACHE = 400_000
+CACHE = 200_000
 
 
 class Ranks:
