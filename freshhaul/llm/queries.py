@@ -15,12 +15,19 @@ from freshhaul.llm.mixing import mix
 from freshhaul.llm.ngram_join import Rule, ngram_components
 from freshhaul.llm.quality_classifier import quality_scores
 from freshhaul.llm.sql import EXACT_DEDUP, MIX
+from freshhaul.llm.token_counts import token_counts
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    )
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_scores(docs, table(spark, sf_dir, "labels")).select(
@@ -59,6 +66,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_ngram_join": op3_ngram_join,
     "op5_byte_bpe": op5_byte_bpe,
