@@ -14,8 +14,10 @@ from freshhaul.llm.exact_dedup import exact_groups
 from freshhaul.llm.mixing import mix
 from freshhaul.llm.ngram_join import Rule, ngram_components
 from freshhaul.llm.quality_classifier import quality_scores
+from freshhaul.llm.repetition import repetition_rules
 from freshhaul.llm.sql import EXACT_DEDUP, MIX
 from freshhaul.llm.token_counts import token_counts
+from freshhaul.llm.url_filter import rules, url_verdicts
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -59,19 +61,51 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "longest_repeat",
+        "base_failed",
+        "kept",
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
     )
 
 
+URL_RULES = rules(
+    [
+        "allow com/",
+        "block example.com/en/",
+        "allow www.example.com/en/",
+        "block net/es/",
+        "block net/fr/",
+    ]
+)
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_verdicts(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_ngram_join": op3_ngram_join,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
+    "op7_repetition_rules": op7_repetition_rules,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_url_filter": op9_url_filter,
 }
 
 ORACLES: dict[str, str] = {
