@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from freshhaul.llm.byte_bpe import encode_documents
 from freshhaul.llm.common import table
 from freshhaul.llm.exact_dedup import exact_groups
+from freshhaul.llm.html_extract import extracted
 from freshhaul.llm.mixing import mix
 from freshhaul.llm.ngram_join import Rule, ngram_components
 from freshhaul.llm.quality_classifier import quality_scores
@@ -43,6 +44,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", extracted().alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
@@ -101,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_ngram_join": op3_ngram_join,
+    "op4_html_extraction": op4_html_extraction,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op7_repetition_rules": op7_repetition_rules,
