@@ -48,14 +48,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and whether they decode to its text."""
     codec = Codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    coded = docs.withColumn("ids", codec.encode())
+    coded = docs.withColumn("coded", codec.round_trip())
     return coded.select(
         "doc_id",
         "lang",
         "source",
-        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        "ids",
-        (codec.decode() == text_of().cast("binary")).alias("round_trip"),
+        (F.octet_length("coded.ids") / 4).cast("bigint").alias("n_tokens"),
+        F.col("coded.ids").alias("ids"),
+        (F.col("coded.decoded") == text_of().cast("binary")).alias("round_trip"),
     )
 
 

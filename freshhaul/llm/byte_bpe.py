@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from freshhaul.llm.common import text_of
 
 #: Characters of text whose words are replayed together; a longer text is a corpus by itself.
-CORPUS = 1_000_000
+CORPUS = 2_000_000
 #: Encoded words that a task keeps for its next texts.
-CACHE = 200_000
+CACHE = 400_000
 
 
 class Ranks:
@@ -78,7 +78,11 @@ def encode_words(words: list[bytes], ranks: Ranks) -> list[bytes]:
     heads = rank_of[np.concatenate([[0], cuts])].tolist() if len(at) else []
     index = dict(zip(heads, map(np.ndarray.tolist, np.split(at, cuts)), strict=True)) if heads else {}
 
+    present = np.full(len(raw), -1, np.int64)
+    present[at] = rank_of
     symbol, right, left = first.tolist(), after.tolist(), before.tolist()
+    pair = present.tolist()  # rank of the pair that starts at a position, -1 if it has none
+    look = pairs.get
     heap = list(index)
     heapify(heap)
     while heap:
@@ -87,35 +91,37 @@ def encode_words(words: list[bytes], ranks: Ranks) -> list[bytes]:
         if positions is None:
             continue
         positions.sort()
+        start = rank * width
+        lower = False
         for k, i in enumerate(positions):
-            j = right[i]
-            if j < 0 or symbol[i] < 0 or pairs.get(symbol[i] * width + symbol[j]) != rank:
+            if pair[i] != rank:
                 continue  # a neighbour was merged away meanwhile
-            symbol[i], symbol[j] = rank, -1
-            lowest = rank
+            j = right[i]
             n = right[i] = right[j]
-            right[j] = -1
-            if n >= 0:
+            symbol[i], symbol[j], pair[j] = rank, -1, -1
+            p = left[i]
+            if n < 0:
+                pair[i] = -1
+            else:
                 left[n] = i
-                new = pairs.get(rank * width + symbol[n])
-                if new is not None:
+                new = pair[i] = look(start + symbol[n], -1)
+                if new >= 0:
+                    lower = new < rank
                     if new in index:
                         index[new].append(i)
                     else:
                         index[new] = [i]
                         heappush(heap, new)
-                    lowest = min(lowest, new)
-            p = left[i]
             if p >= 0:
-                new = pairs.get(symbol[p] * width + rank)
-                if new is not None:
+                new = pair[p] = look(symbol[p] * width + rank, -1)
+                if new >= 0:
+                    lower = lower or new < rank
                     if new in index:
                         index[new].append(p)
                     else:
                         index[new] = [p]
                         heappush(heap, new)
-                    lowest = min(lowest, new)
-            if lowest < rank:
+            if lower:
                 index[rank] = positions[k + 1 :] + index.get(rank, [])
                 heappush(heap, rank)
                 break
@@ -185,7 +191,16 @@ class Codec:
                     dtype=object,
                 )
 
-        self._encode, self._decode = encode, decode
+        @F.pandas_udf("ids binary, decoded binary")
+        def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            encoder = Encoder(shared.value)
+            token = shared.value.tokens.__getitem__
+            for batch in batches:
+                ids = [x for part in corpora(batch.tolist()) for x in encoder(part)]
+                back = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in ids]
+                yield pd.DataFrame({"ids": ids, "decoded": back}, dtype=object)
+
+        self._encode, self._decode, self._both = encode, decode, both
 
     def encode(self, text: str = "text") -> Column:
         """Packed ids of a text column."""
@@ -195,14 +210,18 @@ class Codec:
         """Bytes of packed ids; nulls count as no ids."""
         return self._decode(F.coalesce(F.col(ids), F.lit(b"")))
 
+    def round_trip(self, text: str = "text") -> Column:
+        """Struct of packed ids and the bytes that they decode to, in one pass of a task."""
+        return self._both(text_of(text))
+
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids, n_tokens and the bytes that the ids decode to."""
     codec = Codec(docs.sparkSession, path, pattern)
-    coded = docs.select("doc_id", codec.encode().alias("ids"))
+    coded = docs.select("doc_id", codec.round_trip().alias("coded"))
     return coded.select(
         "doc_id",
-        "ids",
-        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        codec.decode().alias("decoded"),
+        "coded.ids",
+        (F.octet_length("coded.ids") / 4).cast("bigint").alias("n_tokens"),
+        "coded.decoded",
     )
