@@ -17,6 +17,7 @@ from freshhaul.llm.ngram_join import Rule, ngram_components
 from freshhaul.llm.quality_classifier import quality_scores
 from freshhaul.llm.repetition import repetition_rules
 from freshhaul.llm.sql import EXACT_DEDUP, MIX
+from freshhaul.llm.substring_dedup import without_repeats
 from freshhaul.llm.token_counts import token_counts
 from freshhaul.llm.url_filter import rules, url_verdicts
 
@@ -103,6 +104,19 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = lambda s: s["stop"] - s["start"]
+    return without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(
+            F.transform("spans", length), F.lit(0).cast("bigint"), lambda a, b: a + b
+        ).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_classifier": op2_quality_classifier,
@@ -113,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op7_repetition_rules": op7_repetition_rules,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {
