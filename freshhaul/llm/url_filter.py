@@ -8,8 +8,8 @@ naive Bayes then weighs the tokens.
 
 Unigram counts are those of all path words of the table, next to a fixed list of words.
 Naive Bayes learns on all urls: one is an example of class block when its segmented host
-has a word of that list, of class allow otherwise; the words of the list count once more
-in class block, so that they are known before any url shows them. Both tables are counters
+has a marking word of that list, of class allow otherwise. Both classes are smoothed by all
+urls, and class block by the list, so that a rare word of it weighs from the start. Both tables are counters
 of fixed size into which words hash, so what is sent to tasks does not grow.
 
 A null url, or one without ``://``, has an empty host and path and no tokens; naive Bayes
@@ -49,8 +49,9 @@ WORDS = 1 << 18
 TOKENS = 1 << 16
 LONGEST = 24
 HOSTS = 50_000
-#: Added to the count of each token that occurs.
-SMOOTH = 0.1
+#: Tokens that a class is credited with before any are counted, and the share of them
+#: that comes from the fixed list in class block.
+SMOOTH, LISTED = 20.0, 0.2
 #: Times that a word of the fixed list counts in advance.
 PRIOR = 5
 
@@ -184,14 +185,19 @@ class Bayes:
 
     def __init__(self, counts: np.ndarray) -> None:
         allow, block = counts[:TOKENS], counts[TOKENS : 2 * TOKENS]
-        seen = (allow + block) > 0
-        more = SMOOTH * int(seen.sum())
         urls = counts[2 * TOKENS :] + 1.0
         self.bias = log(urls[1] / urls[0])
-        odds = np.log((block + SMOOTH) / (block.sum() + more)) - np.log(
-            (allow + SMOOTH) / (allow.sum() + more)
-        )
-        self.weight = np.where(seen, odds, 0.0)  # a token never seen says nothing
+        # Each class is smoothed by what all urls have; class block knows the list besides.
+        every = (allow + block) / max(1, allow.sum() + block.sum())
+        fixed = np.zeros(TOKENS)
+        for w in UNWANTED:
+            fixed[crc32(w.encode()) % TOKENS] += 1 / len(UNWANTED)
+        seen = every > 0
+        in_allow = (allow + SMOOTH * every)[seen] / (allow.sum() + SMOOTH)
+        mixed = (1 - LISTED) * every + LISTED * fixed
+        in_block = (block + SMOOTH * mixed)[seen] / (block.sum() + SMOOTH)
+        self.weight = np.zeros(TOKENS)  # a token never seen says nothing
+        self.weight[seen] = np.log(in_block) - np.log(in_allow)
 
     def odds(self, tokens: list[str]) -> float:
         return self.bias + float(sum(self.weight[crc32(t.encode()) % TOKENS] for t in tokens))
@@ -210,12 +216,9 @@ def token_counts(urls: DataFrame, words: np.ndarray, total: int) -> np.ndarray:
                 counts[block * TOKENS + crc32(t.encode()) % TOKENS] += 1
 
     size = 2 * TOKENS + 2
-    counts = _collect(
+    return _collect(
         urls.select("host", "path").mapInPandas(_partial(size, add), "place bigint, n bigint"), size
     )
-    for w in UNWANTED:
-        counts[TOKENS + crc32(w.encode()) % TOKENS] += PRIOR
-    return counts
 
 
 def url_verdicts(pages: DataFrame, given: list[Rule], url: str = "url") -> DataFrame:
