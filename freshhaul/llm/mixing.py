@@ -171,12 +171,12 @@ def mix(
             "votes", "seats", ["rank"], "shard",
         )
         .withColumn("blocks", n_blocks)
-        .withColumn("quota", F.least(F.col("quota"), REPEATS * F.col("blocks")))
+        .withColumn("words", F.least(block * F.col("quota"), REPEATS * F.col("shard_size")))
         .select(
             F.col("rank").alias("of_rank"),
             F.col("shard").alias("of_shard"),
-            F.floor(F.col("quota") / F.col("blocks")).alias("rounds"),
-            (F.col("quota") % F.col("blocks")).alias("more"),
+            F.floor(F.col("words") / F.col("shard_size")).alias("rounds"),
+            F.floor((F.col("words") % F.col("shard_size")) / block + F.lit(0.5)).alias("more"),
             (number_of(start) % F.col("blocks")).alias("first"),
             F.col("blocks"),
         ),

@@ -97,9 +97,9 @@ WITH d AS (
     sum(sure) OVER (PARTITION BY rank) AS all_sure
   FROM h2
 ), h6 AS (
-  SELECT rank, shard, blocks,
-    least(sure + (SELECT count(*) FROM h4 WHERE h4.rank = h5.rank AND h4.shard = h5.shard
-                    AND place <= h5.seats - h5.all_sure), 3 * blocks)::BIGINT AS quota,
+  SELECT rank, shard, shard_size, blocks,
+    least(16 * (sure + (SELECT count(*) FROM h4 WHERE h4.rank = h5.rank AND h4.shard = h5.shard
+                    AND place <= h5.seats - h5.all_sure)), 3 * shard_size)::BIGINT AS words,
     ('0x' || md5('mix-1|' || rank || '|' || shard)[1:8])::BIGINT % blocks AS "first"
   FROM h5
 ), e AS (
@@ -108,7 +108,8 @@ WITH d AS (
   FROM p1 WHERE size > 0
 ), x AS (
   SELECT e.doc_id, e.size, e.source_size, e.target, e.ends - e.size AS starts,
-         h6.quota // blocks AS rounds, h6.quota % blocks AS more, "first", blocks
+         words // shard_size AS rounds,
+         floor((words % shard_size) / 16 + 0.5)::BIGINT AS more, "first", blocks
   FROM e JOIN h6 USING (rank, shard)
 )
 SELECT doc_id, size, source_size, target,
