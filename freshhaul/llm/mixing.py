@@ -31,7 +31,7 @@ WEIGHTS = (5, 2, 1)
 REPEATS = 3
 BLOCK = 16
 #: Words of a shard; a large source has as many shards as it needs.
-SHARD = 1 << 24
+SHARD = 1 << 20
 SEED = "mix-1"
 
 ALL = (Window.unboundedPreceding, Window.unboundedFollowing)

@@ -68,7 +68,7 @@ WITH d AS (
 ), p AS (
   SELECT d.doc_id, d.size, q.rank, q.source_size, q.target, q.quota,
          md5('mix-1|' || coalesce(doc_id::VARCHAR, '')) AS draw,
-         ceil(q.source_size / 16777216)::BIGINT AS shards
+         ceil(q.source_size / 1048576)::BIGINT AS shards
   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
 ), p1 AS (
   SELECT *, CASE WHEN size > 0 THEN ('0x' || draw[1:8])::BIGINT % greatest(shards, 1) END AS shard
