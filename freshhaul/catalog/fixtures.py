@@ -132,10 +132,17 @@ def fleet_before(df: DataFrame) -> DataFrame:
 
 
 def fleet_updates(df: DataFrame) -> DataFrame:
-    """Newer state for most trucks, the same state for a quarter, none for a fifth."""
-    before = fleet_before(df).filter(truck_number() % 4 == 1)
+    """Newer state for most trucks, the same state for a quarter, none for a fifth.
+
+    Besides, an older state of the updated trucks and states without a truck: both are
+    to change nothing.
+    """
+    stored = fleet_before(df)
     newer = fleet(df).filter(truck_number() % 4 != 1)
-    return newer.unionByName(before).filter(truck_number() % 5 != 0).select(*FLEET_COLUMNS)
+    valid = newer.unionByName(stored.filter(truck_number() % 4 == 1)).filter(truck_number() % 5 != 0)
+    older = stored.filter((truck_number() % 4 != 1) & (truck_number() % 5 != 0))
+    lost = newer.withColumn("truck_id", F.lit(None).cast("string"))
+    return valid.unionByName(older).unionByName(lost).select(*FLEET_COLUMNS)
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:

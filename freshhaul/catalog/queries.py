@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshhaul.catalog import fixtures as fx
@@ -32,7 +32,13 @@ from freshhaul.plans import features as feature_plan
 from freshhaul.plans import readings as reading_plan
 from freshhaul.plans import report, sync
 from freshhaul.plans.serving import latest_alerts
-from freshhaul.plans.training import train_and_gate
+from freshhaul.plans.training import (
+    CLASSIFIER,
+    REGRESSOR,
+    production_classifier,
+    production_shelf_life,
+    train_and_gate,
+)
 from freshhaul.reference import FOOD_NAMES, food_ref
 from freshhaul.schemas import CORE_FEATURES, PARTITIONS, PROCESSED, SENSORS, duplicate_keys
 from freshhaul.session import scratch_path
@@ -1003,31 +1009,67 @@ def _(df: DataFrame) -> DataFrame:
     return featurize.scored(_rated(df)).select("event_id", "ml_predicted_class", "prob_spoiled")
 
 
-_FEW_TREES = {"numTrees": 8, "maxDepth": 6}
+def _by_food(df: DataFrame) -> DataFrame:
+    """Readings whose label is a function of the food alone, so that SQL knows each class."""
+    turn = F.array_position(F.array(*[F.lit(name.lower()) for name in FOOD_NAMES]), F.lower("food_name"))
+    return fx.rated(df).withColumn("spoiled", (F.coalesce(turn, F.lit(0)) % 3).cast("int"))
+
 
+_BY_FOOD_SQL = (
+    f"(coalesce(list_position([{', '.join(repr(name.lower()) for name in FOOD_NAMES)}], lower(food_name)), 0) % 3)::INTEGER"
+)
 
-@register("ml1_ml2_classifier_scores")
+
+@register(
+    "ml1_ml2_classifier_scores",
+    f"SELECT event_id, {_BY_FOOD_SQL} AS predicted_class,"
+    f" ['Fresh', 'At Risk', 'Spoiled'][{_BY_FOOD_SQL} + 1] AS predicted_label, true AS sums_to_one FROM rated_batch",
+)
 def _(df: DataFrame) -> DataFrame:
-    rows = fx.rated(df)
-    model = classifier.train_classifier(rows, **_FEW_TREES)
-    return classifier.score(rows, model).select(
-        "event_id", "predicted_class", "predicted_label", "p_fresh", "p_at_risk", "p_spoiled"
+    rows = _by_food(df)
+    scored = classifier.score(rows, classifier.train_classifier(rows))
+    total = F.col("p_fresh") + F.col("p_at_risk") + F.col("p_spoiled")
+    return scored.select(
+        "event_id", "predicted_class", "predicted_label", (F.abs(total - 1) < 0.001).alias("sums_to_one")
     )
 
 
-@register("ml3_shelf_life_latest")
+@register(
+    "ml3_shelf_life_latest",
+    "SELECT truck_id, true AS not_negative, true AS in_tenths FROM rated_batch GROUP BY truck_id HAVING count(*) >= 10",
+)
 def _(df: DataFrame) -> DataFrame:
     rows = fx.rated(df)
     stats = metrics.fit_scaler(rows, shelf_life.STEP_INPUTS)
     scaled = metrics.apply_scaler(rows, stats, shelf_life.STEP_INPUTS)
-    model = shelf_life.train_shelf_life(scaled, maxIter=4, maxDepth=4)
-    return shelf_life.predict_latest(scaled, model)
+    model = shelf_life.train_shelf_life(scaled)
+    latest = shelf_life.predict_latest(scaled, model)
+    hours = F.col("predicted_hours")
+    tenths = F.abs(hours * 10 - F.round(hours * 10)) < 1e-6
+    return latest.select("truck_id", (hours >= 0).alias("not_negative"), tenths.alias("in_tenths"))
+
 
+@register(
+    "ml3_latest_or_rule",
+    f"SELECT truck_id, round(greatest({_LEFT_SQL}, 0), 1) AS hours, 'rule' AS source FROM rated_batch"
+    " QUALIFY row_number() OVER (PARTITION BY truck_id ORDER BY event_time DESC, event_id DESC) = 1",
+)
+def _(df: DataFrame) -> DataFrame:
+    return shelf_life.latest_or_rule(fx.rated(df), None)
 
-@register("ml4_importance")
+
+@register(
+    "ml4_importance",
+    "SELECT feature, feature LIKE 'food_%' AS carries_label FROM (VALUES "
+    + ", ".join(f"('{name}')" for name in classifier.INPUTS)
+    + ") t(feature)",
+)
 def _(df: DataFrame) -> DataFrame:
-    rows = fx.rated(df)
-    return classifier.importance(classifier.train_classifier(rows, **_FEW_TREES), rows)
+    """The inputs that the label is made of are those that rank first in the splits."""
+    rows = _by_food(df)
+    both = classifier.importance(classifier.train_classifier(rows), rows)
+    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # a row per input
+    return both.select("feature", (place <= len(FOOD_NAMES)).alias("carries_label"))
 
 
 @register_raw(
@@ -1192,11 +1234,25 @@ def _(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "kind string, name string, row_count bigint")
 
 
-@register("jb6_train_and_gate")
+@register(
+    "jb6_train_and_gate",
+    "SELECT model, 1 AS version, 'Production' AS stage, true AS measured, true AS complete"
+    " FROM (VALUES ('spoilage-classifier'), ('shelf-life-regressor')) t(model)",
+)
 def _(df: DataFrame) -> DataFrame:
     spark, root = df.sparkSession, scratch_path(df.sparkSession, "training")
-    train_and_gate(spark, df, root, NOW, forest=_FEW_TREES, boosting={"maxIter": 3, "maxDepth": 3})
-    return tables.read_snapshot(spark, f"{root}/registry", "registry")
+    train_and_gate(spark, df, root, NOW)
+    complete = {
+        CLASSIFIER: production_classifier(spark, root) is not None,
+        REGRESSOR: production_shelf_life(spark, root) is not None,
+    }
+    return tables.read_snapshot(spark, f"{root}/registry", "registry").select(
+        "model",
+        "version",
+        "stage",
+        F.col("metric").isNotNull().alias("measured"),
+        F.when(F.col("model") == CLASSIFIER, complete[CLASSIFIER]).otherwise(complete[REGRESSOR]).alias("complete"),
+    )
 
 
 @register("snk5_snk15_verify_features", _LABEL_SUMMARY)

@@ -13,6 +13,7 @@ from freshhaul.functions import rules
 from freshhaul.operators.featurize import fill_model_inputs, stream_level
 from freshhaul.operators.metrics import with_class_weights
 from freshhaul.operators.sampling import seeded_sample
+from freshhaul.operators.windows import ranked
 from freshhaul.reference import FOOD_NAMES
 from freshhaul.schemas import CORE_FEATURES, ONE_HOT_COLUMNS, SENSORS
 
@@ -92,22 +93,28 @@ def split_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 
 def permutation_importance(
-    df: DataFrame, model: PipelineModel, label: str = "spoiled", n: int = 500, seed: int = 42
+    df: DataFrame, model: PipelineModel, label: str = "spoiled", n: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Loss of accuracy when one input is swapped with another row's, on a seeded sample.
+    """Loss of accuracy when one input is swapped with another row's.
 
-    The sample has at most ``n`` rows. All inputs are tested in one scoring pass:
-    each row appears once per input, plus once unchanged.
+    All labelled rows are tested, or a seeded sample of ``n``. All inputs are tested in one
+    scoring pass: each row appears once per input, plus once unchanged. The other row is
+    the next one in hash order; rows are numbered slice by slice, so no task orders all.
     """
-    rows = seeded_sample(df.filter(F.col(label).isNotNull()), n, seed=seed)
+    labelled = df.filter(F.col(label).isNotNull())
+    rows = labelled if n is None else seeded_sample(labelled, n, seed=seed)
     values = F.array(*[F.col(c).cast("double") for c in INPUTS])
-    order = Window.partitionBy(F.lit(1)).orderBy("event_id")  # at most n rows
-    numbered = (
-        with_inputs(rows)
-        .select("event_id", F.col(label).cast("int").alias("y"), values.alias("x"))
-        .withColumn("i", F.row_number().over(order))
-        .withColumn("m", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
+    place = F.md5(F.concat_ws(":", F.col("event_id").cast("string"), F.lit(str(seed))))
+    drawn = with_inputs(rows).select(
+        "event_id",
+        F.col(label).cast("int").alias("y"),
+        values.alias("x"),
+        F.lit(1).alias("all"),
+        place.alias("place"),
     )
+    numbered = ranked(
+        drawn, "all", F.substring("place", 1, 4), [F.col("place"), F.col("event_id")]
+    ).withColumnsRenamed({"_rank": "i", "_total": "m"})
     partner = numbered.select(F.col("i").alias("j"), F.col("x").alias("z"))
     paired = numbered.join(partner, F.col("j") == F.col("i") % F.col("m") + 1)
     which = F.explode(F.sequence(F.lit(-1), F.lit(len(INPUTS) - 1)))
@@ -133,7 +140,7 @@ def permutation_importance(
 
 
 def importance(
-    model: PipelineModel, df: DataFrame, label: str = "spoiled", n: int = 500
+    model: PipelineModel, df: DataFrame, label: str = "spoiled", n: int | None = None
 ) -> DataFrame:
     """Both importances of each input, side by side."""
     in_splits = split_importance(df.sparkSession, model)

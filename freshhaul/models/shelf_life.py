@@ -7,7 +7,8 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshhaul.operators.windows import last_n, sequences
+from freshhaul.operators.metrics import apply_scaler
+from freshhaul.operators.windows import last_n, latest_by, sequences
 from freshhaul.reference import SEQUENCE_LENGTH
 from freshhaul.schemas import CORE_FEATURES
 
@@ -41,3 +42,25 @@ def predict_latest(df: DataFrame, model: GBTRegressionModel, n: int = SEQUENCE_L
     """Prediction per truck from its last ``n`` rows; trucks with fewer get none."""
     latest = last_n(df, "truck_id", ["event_time", "event_id"], n, STEP_INPUTS, "sequence")
     return predict_sequences(latest, model).select("truck_id", "predicted_hours")
+
+
+def latest_or_rule(
+    df: DataFrame, fitted: tuple[GBTRegressionModel, DataFrame] | None, n: int = SEQUENCE_LENGTH
+) -> DataFrame:
+    """Hours left per truck: from the model where it has enough readings, else by the formula.
+
+    ``fitted``: regressor and the scaler of its inputs, None while none is in production.
+    ``df`` has the formula's hours of each reading as ``remaining_hours``.
+    """
+    latest = latest_by(df, "truck_id", ["event_time", "event_id"])
+    ruled = latest.select("truck_id", F.round(F.greatest(F.lit(0.0), TARGET), 1).alias("_rule"))
+    if fitted is None:
+        return ruled.select("truck_id", F.col("_rule").alias("hours"), F.lit("rule").alias("source"))
+    model, stats = fitted
+    predicted = predict_latest(apply_scaler(df, stats, STEP_INPUTS), model, n)
+    known = F.col("predicted_hours").isNotNull()
+    return ruled.join(predicted, "truck_id", "left").select(
+        "truck_id",
+        F.coalesce("predicted_hours", "_rule").alias("hours"),
+        F.when(known, "model").otherwise("rule").alias("source"),
+    )

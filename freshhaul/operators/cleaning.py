@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshhaul.functions.times import moment
@@ -37,8 +37,18 @@ def default_food(df: DataFrame) -> DataFrame:
 
 
 def dedupe(df: DataFrame) -> DataFrame:
-    """One row per (event_id, event_time); stateful in a stream, bounded by its watermark."""
-    return df.dropDuplicates(["event_id", "event_time"])
+    """One row per (event_id, event_time); stateful in a stream, bounded by its watermark.
+
+    A batch keeps the copy that comes first in the topic, by all columns where the
+    position is not known; a stream keeps the one that arrives first.
+    """
+    key = ["event_id", "event_time"]
+    if df.isStreaming:
+        return df.dropDuplicates(key)
+    known = [c for c in ("kafka_partition", "kafka_offset") if c in df.columns]
+    order = known or [c for c in df.columns if c not in key]
+    first = Window.partitionBy(*key).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
 def impute(df: DataFrame, profile: str, dim: DataFrame | None = None) -> DataFrame:

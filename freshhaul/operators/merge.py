@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from freshhaul.functions.times import moment
 from freshhaul.operators.enrich import settled
+from freshhaul.operators.windows import latest_by
 
 
 def known_ids(df: DataFrame, key: str = "event_id") -> DataFrame:
@@ -35,12 +36,15 @@ def new_only(
 ) -> DataFrame:
     """Rows whose key is not stored yet, one per key (the earliest).
 
-    A null key matches nothing, so such rows all stay. They bypass the join and
-    the dedupe, where they would all meet in one task.
+    A null key matches nothing, so such rows all stay, in each run anew: nothing tells
+    whether they are stored. They take a number of their own as key, which spreads them
+    and leaves one evaluation of ``df``.
     """
-    keyed = first_by(df.filter(F.col(key).isNotNull()), key, [order])
-    fresh = keyed.join(known.select(key), key, "left_anti").select(*df.columns)
-    return fresh.unionByName(df.filter(F.col(key).isNull()))
+    own = F.concat(F.lit("null-"), F.monotonically_increasing_id().cast("string"))
+    text = F.col(key).cast("string")
+    keyed = df.withColumn("_key", F.when(text.isNull(), own).otherwise(F.concat(F.lit("key-"), text)))
+    stored = known.select(F.concat(F.lit("key-"), F.col(key).cast("string")).alias("_key"))
+    return first_by(keyed, "_key", [order]).join(stored, "_key", "left_anti").select(*df.columns)
 
 
 def upsert(
@@ -51,12 +55,15 @@ def upsert(
     now: datetime,
     stamp: str = "updated_at",
 ) -> DataFrame:
-    """The target after merging ``updates`` (one row per key), as a new snapshot.
+    """The target after merging ``updates``, as a new snapshot.
 
     A new key is inserted; a stored one is replaced only where ``changed_on``
-    differs (null-safe), and only then gets a new ``stamp``.
+    differs (null-safe), and only then gets a new ``stamp``. Updates without a key
+    are left out; of several for one key the last by ``changed_on`` counts.
     """
-    old, new = target.alias("old"), updates.alias("new")
+    order = [changed_on, *[c for c in updates.columns if c not in (key, changed_on)]]
+    last = latest_by(updates.filter(F.col(key).isNotNull()), key, order)
+    old, new = target.alias("old"), last.alias("new")
     is_new = F.col(f"old.{key}").isNull()
     differs = ~F.col(f"old.{changed_on}").eqNullSafe(F.col(f"new.{changed_on}"))
     take = F.col(f"new.{key}").isNotNull() & (is_new | differs)

@@ -15,7 +15,7 @@ def top_n(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
 def holdout_keys(df: DataFrame, key: str, n: int) -> tuple[DataFrame, DataFrame]:
     """(train, test): rows of the last ``n`` keys in sorted order go to test."""
     last = df.select(key).distinct().orderBy(F.desc(key)).limit(n)
-    held = F.broadcast(last)  # at most n rows
+    held = settled(last)  # its size decides whether it is broadcast
     return df.join(held, key, "left_anti"), df.join(held, key, "left_semi")
 
 
@@ -46,11 +46,11 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split``: per class the rows first in hash order are 'test', the rest 'train'.
 
-    Class sizes are exact. Rows are sliced by hash prefix: slices wholly inside
-    or outside a class's quota are decided by the prefix alone, with no shuffle.
-    Only the one slice per class that the quota cuts through is ordered, about
-    1/65,536 of the class. ``key`` should be unique (dedupe first); rows with a
-    null label are left out.
+    Class sizes are exact. Rows are sliced by hash prefix and counted; in the one slice
+    per class that the quota cuts through, about 1/65,536 of the class, hashes and keys
+    are ordered to find the last row of the quota. Each row is then decided by comparing
+    its hash with that one, without moving. ``key`` should be unique (dedupe first);
+    rows with a null label are left out.
     """
     hashed = df.filter(F.col(label).isNotNull()).withColumn("_h", _shuffle_key(key, seed)).withColumn(
         "_slice", F.substring("_h", 1, 4)
@@ -73,18 +73,22 @@ def stratified_split(
         )
         .select(label, "_cut", (F.col("_quota") - F.col("_below")).alias("_take"))
     )
-    marked = hashed.join(settled(cuts), label)
-    decided = marked.filter(F.col("_slice") != F.col("_cut")).withColumn(
-        "split", F.when(F.col("_slice") < F.col("_cut"), "test").otherwise("train")
-    )
+    # Inside the slice that a quota cuts, only hash and key of the rows are ordered.
+    cut = settled(cuts)
     order = Window.partitionBy(label).orderBy("_h", key)
-    ordered = (
-        marked.filter(F.col("_slice") == F.col("_cut"))
+    edges = (
+        hashed.select(label, "_h", "_slice", key)
+        .join(cut, label)
+        .filter(F.col("_slice") == F.col("_cut"))
         .withColumn("_rn", F.row_number().over(order))
-        .withColumn("split", F.when(F.col("_rn") <= F.col("_take"), "test").otherwise("train"))
+        .filter(F.col("_rn") == F.col("_take"))
+        .select(label, F.struct("_h", key).alias("_edge"))
+    )
+    marked = hashed.join(settled(edges), label, "left")
+    inside = F.coalesce(F.struct("_h", key) <= F.col("_edge"), F.lit(False))
+    return marked.withColumn("split", F.when(inside, "test").otherwise("train")).select(
+        *df.columns, "split"
     )
-    columns = [*df.columns, "split"]
-    return decided.select(*columns).unionByName(ordered.select(*columns))
 
 
 def seeded_sample(df: DataFrame, n: int, key: str = "event_id", seed: int = 42) -> DataFrame:

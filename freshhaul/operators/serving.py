@@ -28,8 +28,14 @@ def fleet_view(fleet: DataFrame) -> DataFrame:
     )
 
 
-def filter_fleet(df: DataFrame, labels: list[str], foods: list[str]) -> DataFrame:
-    return df.filter(F.col("risk_label").isin(labels) & F.col("food_name").isin(foods))
+def filter_fleet(
+    df: DataFrame, labels: list[str] | None = None, foods: list[str] | None = None
+) -> DataFrame:
+    """Trucks of the chosen labels and foods; None leaves a choice open, an empty one has none."""
+    for name, chosen in (("risk_label", labels), ("food_name", foods)):
+        if chosen is not None:
+            df = df.filter(F.col(name).isin(chosen))
+    return df
 
 
 def drop_seed_rows(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshhaul.operators.alerts import alert_display
+from freshhaul.operators.merge import prune
 from freshhaul.operators.rollup import distribution
 from freshhaul.operators.sampling import top_n
 from freshhaul.operators.serving import (
@@ -23,7 +24,6 @@ from freshhaul.operators.serving import (
     truck_history,
 )
 from freshhaul.operators.windows import latest_by
-from freshhaul.reference import CLASS_NAMES, FOOD_NAMES
 
 
 def latest_alerts(alerts: DataFrame, n: int = 40) -> DataFrame:
@@ -41,20 +41,24 @@ def serving_views(
     labels: list[str] | None = None,
     foods: list[str] | None = None,
     alert_rows: int = 40,
+    alert_hours: float = 24,
 ) -> dict[str, DataFrame]:
-    """Name to lazy frame; the caller runs the ones on screen."""
+    """Name to lazy frame; the caller runs the ones on screen.
+
+    ``labels`` and ``foods`` choose trucks, None all, also those of an unknown food.
+    The list of alerts is the newest ``alert_rows``; their counts are of all alerts of
+    the last ``alert_hours``.
+    """
     view = fleet_view(fleet)
-    recent = latest_alerts(alerts, alert_rows)
+    recent = prune(drop_seed_rows(alerts), now, alert_hours, "created_at")
     return {
-        "fleet": filter_fleet(view, labels or CLASS_NAMES, foods or FOOD_NAMES).orderBy(
-            F.desc("spoiled_class"), "truck_id"
-        ),
+        "fleet": filter_fleet(view, labels, foods).orderBy(F.desc("spoiled_class"), "truck_id"),
         "kpis": fleet_kpis(view),
         "risk_distribution": distribution(view, "risk_label"),
         "risk_by_food": mean_risk_by_food(view),
         "temperature_histogram": histogram(view, "temperature", 20, "risk_label"),
         "truck_history": truck_history(history, truck_id, now),
-        "alerts": alert_display(recent),
+        "alerts": alert_display(latest_alerts(alerts, alert_rows)),
         "alert_counts": alert_counts(recent),
         "alerts_over_time": alerts_over_time(recent),
         "fleet_freshness": freshness(fleet, "updated_at", now),

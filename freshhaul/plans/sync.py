@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,6 +18,7 @@ from freshhaul.reference import (
     HISTORY_RETAIN_HOURS,
 )
 from freshhaul.schemas import FLEET_COLUMNS, HISTORY_COLUMNS
+from freshhaul.session import scratch_of_job
 from freshhaul.sinks.tables import append_rows, drop_expired_days, read_log, upsert_table
 from freshhaul.sources.files import read_zone_or_none
 
@@ -32,6 +33,18 @@ def fleet_snapshot(recent: DataFrame) -> DataFrame:
     return latest_by(recent, "truck_id", ["event_time", "event_id"]).select(*FLEET_COLUMNS)
 
 
+def stored_since(log: DataFrame, now: datetime, hours: float) -> DataFrame:
+    """Stored ids that an event of the look-back can have, by the days of the table's folders.
+
+    Rows lie under the day of their event or, for alerts, of their insertion, which comes
+    later. A day is allowed for clocks that differ.
+    """
+    if "year" in log.columns:
+        since = (now - timedelta(hours=hours, days=1)).date()
+        log = log.filter(F.make_date("year", "month", "day") >= F.lit(since))
+    return log.select("event_id")
+
+
 def _append_counted(df: DataFrame, path: str, time: str) -> int:
     """Append and count in the writing stage, whose tasks are counted once even when re-run."""
     seen = Observation()
@@ -48,11 +61,17 @@ def sync_alerts(
 ) -> int:
     """Insert new alerts; returns how many. No zone yet: nothing to do."""
     zone = read_zone_or_none(spark, alerts_path)
-    recent = None if zone is None else lookback(zone, now, hours)
-    if recent is None or recent.isEmpty():
+    if zone is None:
         return 0
-    stored = read_log(spark, table_path, "alerts").select("event_id")
-    return _append_counted(new_alerts(recent, stored, now), table_path, "created_at")
+    recent = lookback(zone, now, hours).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with scratch_of_job(spark):
+            if recent.isEmpty():
+                return 0
+            stored = stored_since(read_log(spark, table_path, "alerts"), now, hours)
+            return _append_counted(new_alerts(recent, stored, now), table_path, "created_at")
+    finally:
+        recent.unpersist()
 
 
 def sync_fleet(
@@ -73,10 +92,12 @@ def sync_fleet(
     try:
         if recent.isEmpty():
             return {"history_rows": 0, "removed": []}
-        upsert_table(spark, fleet_path, "fleet_status", fleet_snapshot(recent), "event_time", now)
-        stored = read_log(spark, history_path, "sensor_history").select("event_id")
-        fresh = new_only(recent.select(*HISTORY_COLUMNS), known_among(stored, recent))
-        inserted = _append_counted(fresh, history_path, "event_time")
+        with scratch_of_job(spark):
+            upsert_table(spark, fleet_path, "fleet_status", fleet_snapshot(recent), "event_time", now)
+            stored = stored_since(read_log(spark, history_path, "sensor_history"), now, hours)
+            placed = recent.filter(F.col("truck_id").isNotNull() & F.col("event_time").isNotNull())
+            fresh = new_only(placed.select(*HISTORY_COLUMNS), known_among(stored, placed))
+            inserted = _append_counted(fresh, history_path, "event_time")
     finally:
         recent.unpersist()
     return {

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from freshhaul import storage
+
 # Runtime settings that do not depend on the cluster size.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,7 +45,8 @@ _LOCAL: dict[str, str] = {}  # application id -> temporary folder, without a clu
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables that cut lineage: ``spark.checkpoint.dir``.
 
-    A temporary folder is used only when the setting is absent, as in local tests.
+    Without that setting a local session, as in tests, takes a temporary folder; on a
+    cluster, where each machine would write to its own disk, it is an error.
     """
     context = spark.sparkContext
     root = (
@@ -50,12 +55,34 @@ def scratch_root(spark: SparkSession) -> str:
         or context.getCheckpointDir()
     )
     if not root:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if context.applicationId not in _LOCAL:
             _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="freshhaul-")
         root = _LOCAL[context.applicationId]
     return root.rstrip("/")
 
 
+_OPEN: list[list[str]] = []  # scratch paths of the jobs that are running
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _OPEN[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_of_job(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside when the job ends, also by an error.
+
+    For jobs that have written their results by then, not for lazy frames.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            storage.remove(spark, path)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshhaul.reference import MAX_PER_TRIGGER
 from freshhaul.schemas import ENVELOPE, SENSOR_EVENT
 
 
@@ -14,15 +13,20 @@ def kafka_options(
     servers: str,
     topic: str,
     starting: str = "latest",
-    max_per_trigger: int | None = MAX_PER_TRIGGER,
+    max_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
     **extra: str,
 ) -> dict[str, str]:
-    """Reader options. ``max_per_trigger=None`` lifts the per-batch cap."""
+    """Reader options. A batch takes all that has come unless ``max_per_trigger`` is given.
+
+    Messages that expired before they were read end the stream unless
+    ``fail_on_data_loss`` is false, which skips them.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)

@@ -73,14 +73,12 @@ def stream_pipeline(
     trigger: dict = EVERY,
     model: PipelineModel | None = None,
     console: bool = False,
-    chain_alerts: bool = False,
+    chain_alerts: bool = True,
 ) -> dict[str, StreamingQuery]:
     """Start the zone writers. ``paths``: raw, processed, alerts, checkpoints.
 
-    By default every query reads the source by itself, so each zone is
-    exactly-once on its own. With ``chain_alerts`` the alert query follows the
-    processed zone instead: no second parse, score and dedupe state, one trigger
-    later. ``spark.sql.shuffle.partitions`` is fixed for the life of a
+    The alert query follows the processed zone: no second parse, score and dedupe
+    state, one trigger later. Without ``chain_alerts`` it reads the source by itself. ``spark.sql.shuffle.partitions`` is fixed for the life of a
     checkpoint with dedupe state; size it for the cluster before the first start.
     """
     marks = paths["checkpoints"]

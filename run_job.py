@@ -8,14 +8,15 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
+from freshhaul.models.classifier import score
 from freshhaul.plans.features import feature_build
+from freshhaul.plans.readings import reprocess
 from freshhaul.plans.report import daily_report
 from freshhaul.plans.sync import sync_alerts, sync_fleet
-from freshhaul.plans.training import train_and_gate
+from freshhaul.plans.training import gate_registry, production_classifier, train_and_gate
 from freshhaul.reference import (
     ALERT_LOOKBACK_HOURS,
     FLEET_LOOKBACK_HOURS,
-    MAX_PER_TRIGGER,
     TRIGGER,
 )
 from freshhaul.session import build_session
@@ -26,6 +27,7 @@ from freshhaul.streaming.pipeline import await_any, stream_pipeline
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    parser.add_argument("--scratch", help="shared folder for intermediate tables")
     parser.add_argument("--now", type=datetime.fromisoformat, help="run time, default: the clock")
     jobs = parser.add_subparsers(dest="job", required=True)
 
@@ -33,8 +35,13 @@ def arguments() -> argparse.Namespace:
     for name in ("--servers", "--topic", "--raw", "--processed", "--alerts", "--checkpoints"):
         stream.add_argument(name, required=True)
     stream.add_argument("--every", default=TRIGGER)
-    stream.add_argument("--max-per-trigger", type=int, default=MAX_PER_TRIGGER)
-    stream.add_argument("--chain-alerts", action="store_true")
+    stream.add_argument("--max-per-trigger", type=int, help="messages of a batch, default: all")
+    stream.add_argument("--starting", default="latest", help="offsets of the first start")
+    stream.add_argument("--skip-lost", action="store_true", help="go on past expired messages")
+    stream.add_argument("--model", help="training output whose production model scores")
+    stream.add_argument(
+        "--own-alerts", action="store_true", help="derive alerts from messages, not from the zone"
+    )
     stream.add_argument("--console", action="store_true")
 
     features = jobs.add_parser("features", help="hourly feature table and reports")
@@ -63,17 +70,35 @@ def arguments() -> argparse.Namespace:
     source = train.add_mutually_exclusive_group(required=True)
     source.add_argument("--csv")
     source.add_argument("--processed")
+
+    scoring = jobs.add_parser("score", help="classify the readings of a zone with the production model")
+    for name in ("--processed", "--models", "--out"):
+        scoring.add_argument(name, required=True)
+
+    gate = jobs.add_parser("gate", help="run the promotion gate over the stored registry")
+    gate.add_argument("--models", required=True)
+
+    again = jobs.add_parser("reprocess", help="processed rows from the landed raw messages")
+    for name in ("--raw", "--out"):
+        again.add_argument(name, required=True)
     return parser.parse_args()
 
 
 def main() -> None:
     args = arguments()
-    spark = build_session(f"freshhaul-{args.job}")
+    shared = {"spark.checkpoint.dir": args.scratch} if args.scratch else {}
+    spark = build_session(f"freshhaul-{args.job}", **shared)
     now = args.now or datetime.now()
     if args.job == "stream":
         source = read_kafka(
-            spark, args.servers, args.topic, max_per_trigger=args.max_per_trigger
+            spark,
+            args.servers,
+            args.topic,
+            starting=args.starting,
+            max_per_trigger=args.max_per_trigger,
+            fail_on_data_loss=not args.skip_lost,
         )
+        model = production_classifier(spark, args.model) if args.model else None
         paths = {n: getattr(args, n) for n in ("raw", "processed", "alerts", "checkpoints")}
         await_any(
             spark,
@@ -82,7 +107,8 @@ def main() -> None:
                 paths,
                 trigger={"processingTime": args.every},
                 console=args.console,
-                chain_alerts=args.chain_alerts,
+                chain_alerts=not args.own_alerts,
+                model=model,
             ),
         )
         return
@@ -97,6 +123,17 @@ def main() -> None:
         result = sync_fleet(spark, args.processed, args.fleet, args.history, now, args.hours)
     elif args.job == "report":
         result = daily_report(spark, args.features, args.runs, now)
+    elif args.job == "score":
+        model = production_classifier(spark, args.models)
+        if model is None:
+            raise SystemExit("no classifier is in production")
+        score(read_zone(spark, args.processed), model).write.mode("overwrite").parquet(args.out)
+        result = {"scored": args.out}
+    elif args.job == "gate":
+        result = gate_registry(spark, f"{args.models}/registry")
+    elif args.job == "reprocess":
+        reprocess(read_zone(spark, args.raw)).write.mode("overwrite").parquet(args.out)
+        result = {"processed": args.out}
     else:
         rows = read_readings_csv(spark, args.csv) if args.csv else read_zone(spark, args.processed)
         result = train_and_gate(spark, rows, args.out, now)

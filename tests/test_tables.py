@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshhaul.catalog import fixtures as fx
+from freshhaul.functions.times import moment
 from freshhaul.operators import cleaning, merge, quality
 from freshhaul.plans import features as feature_plan
 from freshhaul.plans import report, serving, sync
@@ -157,9 +158,11 @@ def test_csv_with_canonical_names(spark, tmp_path):
 
 def test_kafka_options():
     options = kafka.kafka_options("b:9092", "sensor-raw")
-    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
-    assert options["maxOffsetsPerTrigger"] == "5000" and options["subscribe"] == "sensor-raw"
-    assert "maxOffsetsPerTrigger" not in kafka.kafka_options("b", "t", max_per_trigger=None)
+    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "true"
+    assert "maxOffsetsPerTrigger" not in options and options["subscribe"] == "sensor-raw"
+    chosen = kafka.kafka_options("b", "t", "earliest", max_per_trigger=5000, fail_on_data_loss=False)
+    assert chosen["maxOffsetsPerTrigger"] == "5000" and chosen["startingOffsets"] == "earliest"
+    assert chosen["failOnDataLoss"] == "false"
 
 
 def test_messages_parse_once(spark):
@@ -319,7 +322,16 @@ def test_serving_views(spark, readings):
     )
     counts = {name: df.count() for name, df in views.items()}
     assert counts["fleet"] == counts["model_metrics"] == 15
-    assert counts["alerts"] == 40 and views["alert_counts"].first()["total"] == 40
+    recent = alert_table.filter(F.col("created_at") >= moment(NOW - timedelta(hours=24), "timestamp_ntz"))
+    assert counts["alerts"] == 40
+    assert views["alert_counts"].first()["total"] == serving.drop_seed_rows(recent).count() > 40
+    exotic = fx.fleet(readings).withColumn("food_name", F.lit("Durian"))
+    view = serving.serving_views(exotic, readings, alert_table, fx.model_metrics(readings), NOW, "TRK-007")
+    assert view["fleet"].count() == 15
+    none = serving.serving_views(
+        exotic, readings, alert_table, fx.model_metrics(readings), NOW, "TRK-007", foods=[]
+    )
+    assert none["fleet"].count() == 0
     assert counts["kpis"] == counts["fleet_freshness"] == counts["alert_freshness"] == 1
     assert views["temperature_histogram"].agg(F.sum("row_count")).first()[0] == 15
 
