@@ -10,8 +10,10 @@ document, are a segment. Segments that share anchors form families.
 
 The segments of a family are one text. Its suffix array (linear grouping construction)
 brings equal strings together: a suffix whose neighbour shares its first ``length`` bytes
-starts a repeated string. Families larger than ``BLOCK`` bytes do not fit a task; each of
-their strings is counted by its digest instead, which is exact as well.
+starts a repeated string. Families larger than ``BLOCK`` bytes do not fit a task; they go
+on as the surroundings of one anchor at a time, equal strings having equal anchors. Where
+a single anchor has more than ``BLOCK`` bytes of different surroundings, its strings are
+counted by their digests instead, which is exact as well.
 
 Strings are bytes of UTF-8 and never cross documents. Null texts count as empty. Rows with
 equal ids are documents of their own, so the copies of a repeated row lose what they share.
@@ -166,8 +168,14 @@ def merged(spans: DataFrame, *keep: Column) -> DataFrame:
     )
 
 
-def repeated_starts(segments: list[bytes], length: int) -> list[np.ndarray]:
-    """Starts of strings of ``length`` bytes, in each segment, that occur elsewhere too."""
+def repeated_starts(
+    segments: list[bytes], docs: list[int], at: list[int], length: int
+) -> list[np.ndarray]:
+    """Starts of strings of ``length`` bytes, in each segment, that occur elsewhere too.
+
+    A segment is the bytes of document ``docs[i]`` from ``at[i]`` on. Segments may
+    overlap: a string is repeated only if it stands at two places of the documents.
+    """
     sizes = np.array([len(s) for s in segments])
     text = np.frombuffer(b"\0".join(segments), np.uint8).astype(np.int64) + 1
     begins = np.cumsum(sizes + 1) - sizes - 1
@@ -175,16 +183,24 @@ def repeated_starts(segments: list[bytes], length: int) -> list[np.ndarray]:
     ends = np.repeat(begins + sizes, sizes + 1)[: len(text)]
     order = suffix_array(text)
     order = order[order + length <= ends[order]]
+    none = [order[:0]] * len(segments)
     if not len(order):
-        return [order] * len(segments)
+        return none
     head = rolling(text)(order, length)
-    same = head[1:] == head[:-1]
-    found = np.zeros(len(order), bool)
-    found[1:] |= same
-    found[:-1] |= same
+    of = np.searchsorted(begins, order, "right") - 1
+    _, number = np.unique(np.array(docs, np.int64), return_inverse=True)
+    offset = np.array(at, np.int64)[of] + order - begins[of]
+    place = (number[of] << 40) + offset
+    # Neighbours with the same first bytes are a run; it counts if its places differ.
+    heads = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]]))
+    differ = np.minimum.reduceat(place, heads) != np.maximum.reduceat(place, heads)
+    found = np.repeat(differ, np.diff(np.append(heads, len(order))))
     starts = np.sort(order[found])
+    if not len(starts):
+        return none
     of = np.searchsorted(begins, starts, "right") - 1
-    return [starts[of == i] - begins[i] for i in range(len(segments))] if len(starts) else [starts] * len(segments)
+    parts = np.split(starts - begins[of], np.searchsorted(of, np.arange(1, len(segments))))
+    return parts
 
 
 def runs(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -213,16 +229,32 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     placed = segments.join(family, F.col("node") == F.col("member"), "left").select(
         "doc", "start", "stop", "ranges", F.coalesce("root", "node").alias("root")
     )
-    weight = placed.groupBy("root").agg(F.sum(F.col("stop") - F.col("start")).alias("weight"))
+    weighed = placed.join(
+        placed.groupBy("root").agg(F.sum(F.col("stop") - F.col("start")).alias("weight")), "root"
+    )
     total = segments.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()[0]
-    bucket = F.when(
-        F.col("weight") <= block, F.pmod(F.xxhash64("root"), F.lit(max(1, 2 * total // block)))
+    shared = max(1, 2 * total // block)
+    columns = ["doc", "start", "stop", "bucket", "first", "last"]
+    none = F.lit(None).cast("bigint")
+    families = weighed.filter(F.col("weight") <= block).select(
+        "doc", "start", "stop",
+        F.pmod(F.xxhash64("root"), F.lit(shared)).alias("bucket"),
+        none.alias("first"), none.alias("last"),
+    )
+    alone = weighed.filter(F.col("weight") > block).select("doc", F.explode("ranges").alias("r")).select(
+        "doc", "r.anchor", F.col("r.first").alias("start"), (F.col("r.last") + length).alias("stop"),
+        "r.first", "r.last",
+    )
+    of_anchor = alone.groupBy("anchor").agg(F.sum(F.col("stop") - F.col("start")).alias("weight"))
+    by_anchor = alone.join(of_anchor, "anchor").withColumn(
+        "bucket",
+        F.when(F.col("weight") <= block, shared + F.pmod(F.xxhash64("anchor"), F.lit(4 * shared))),
     )
     wanted = settle(
-        placed.join(weight, "root")
-        .withColumn("bucket", bucket)
+        families.select(*columns)
+        .union(by_anchor.select(*columns))
         .groupBy("doc")
-        .agg(F.collect_list(F.struct("start", "stop", "bucket", "ranges")).alias("segments")),
+        .agg(F.collect_list(F.struct(*columns[1:])).alias("segments")),
         "repeat-wanted",
     )
 
@@ -237,7 +269,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
             yield pd.DataFrame(out, columns=["doc", "start", "bucket", "bytes"])
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
-        found = repeated_starts(group["bytes"].tolist(), length)
+        found = repeated_starts(group["bytes"].tolist(), group["doc"].tolist(), group["start"].tolist(), length)
         return pd.DataFrame(
             [
                 (doc, start + a, start + b)
@@ -254,7 +286,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
                 for s in found:
                     if s["bucket"] is not None:
                         continue
-                    at = np.concatenate([np.arange(r["first"], r["last"] + 1) for r in s["ranges"]])
+                    at = np.arange(s["first"], s["last"] + 1)
                     string = rolling(raw[s["start"] : s["stop"]])(at - s["start"], length)
                     yield pd.DataFrame({"doc": doc, "start": at, "string": string.view(np.int64)})
 
