@@ -49,7 +49,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 1000}, {"gram": 40}, {"gram": 5}])
+@pytest.mark.parametrize("options", [{}, {"block": 1000}, {"block": 100}, {"gram": 40}, {"gram": 5}])
 def test_against_all_strings(frame, options):
     rows = corpus(8)
     got = without_repeats(frame(list(enumerate(rows))), 40, **{"gram": 16} | options).collect()
