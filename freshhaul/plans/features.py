@@ -59,6 +59,15 @@ def feature_window(df: DataFrame, now: datetime, hours: float, mode: str = "even
     return lookback(df, now, (now - start) / timedelta(hours=1), mode)
 
 
+def _log_run(
+    spark: SparkSession, path: str | None, run_id: str, status: str, rows: int, started: float, now: datetime
+) -> None:
+    """A row in the run log, where one is kept; empty windows and failures have theirs too."""
+    if path is not None:
+        seconds = int(monotonic() - started)
+        append_rows(run_log(spark, "feature_build", run_id, status, rows, seconds, now), path)
+
+
 def feature_build(
     spark: SparkSession,
     processed_path: str,
@@ -82,6 +91,7 @@ def feature_build(
     source = None if zone is None else feature_window(zone, now, hours, mode)
     if source is None or source.isEmpty():
         if fallback_csv is None:
+            _log_run(spark, runs_path, run_id, "success", 0, started, now)
             return {"run_id": run_id, "input_rows": 0, "output_rows": 0, "quality": {}}
         source = read_readings_csv(spark, fallback_csv, stamp_now=True)
 
@@ -100,13 +110,12 @@ def feature_build(
         write_report(distribution(features, "risk_level"), f"{report}/risk_distribution")
         write_report(risks, f"{report}/food_risk_summary")
         riskiest = top_n(risks, [F.desc("avg_risk_score"), "food_name"], 5).collect()
+    except Exception:
+        _log_run(spark, runs_path, run_id, "failed", 0, started, now)
+        raise
     finally:
         hours_seen.unpersist()
-    if runs_path is not None:
-        seconds = int(monotonic() - started)
-        append_rows(
-            run_log(spark, "feature_build", run_id, "success", counts["hours"], seconds, now), runs_path
-        )
+    _log_run(spark, runs_path, run_id, "success", counts["hours"], started, now)
     return {
         "run_id": run_id,
         "input_rows": counts["readings"],

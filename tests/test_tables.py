@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from freshhaul import storage
 from freshhaul.catalog import fixtures as fx
 from freshhaul.functions.times import moment
 from freshhaul.operators import cleaning, merge, quality
@@ -23,6 +24,7 @@ from freshhaul.schemas import (
     conform,
     duplicate_keys,
 )
+from freshhaul.session import scratch_of_job, scratch_path
 from freshhaul.sinks import files as file_sinks
 from freshhaul.sinks import jdbc as jdbc_sinks
 from freshhaul.sinks import tables
@@ -307,12 +309,42 @@ def test_daily_report(spark, readings, tmp_path):
     out = report.daily_report(spark, features, runs, NOW)
     assert out["status"] == "success"
     assert out["rows"] == sum(out["labels"].values()) == sum(out["risks"].values())
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("not a table")
+    assert report.daily_report(spark, str(broken), runs, NOW)["status"] == "failed"
     log = tables.read_log(spark, runs, "pipeline_runs").orderBy("status").collect()
     assert [(r["status"], r["rows_processed"]) for r in log] == [
-        ("failed", 0), ("success", out["rows"])
+        ("failed", 0), ("failed", 0), ("success", out["rows"])
     ]
 
 
+def test_failed_and_empty_builds_are_logged(spark, tmp_path):
+    broken, runs = tmp_path / "zone", str(tmp_path / "runs")
+    args = (str(broken), str(tmp_path / "features"), str(tmp_path / "reports"), NOW)
+    assert feature_plan.feature_build(spark, *args, runs_path=runs)["output_rows"] == 0
+    log = tables.read_log(spark, runs, "pipeline_runs").collect()
+    assert [(r["status"], r["rows_processed"]) for r in log] == [("success", 0)]
+
+
+def test_scratch_of_a_job_is_removed(spark):
+    with pytest.raises(KeyError), scratch_of_job(spark):
+        path = scratch_path(spark, "left")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+        raise KeyError
+    assert not storage.exists(spark, path)
+
+
+def test_upsert_without_key_and_with_several(spark):
+    target = spark.createDataFrame([("a", "Milk", at(1), at(1))], FLEET)
+    rows = [("a", "Fish", at(2), None), ("a", "Eggs", at(3), None), (None, "Lost", at(4), None)]
+    updates = spark.createDataFrame(rows, FLEET)
+    for _ in range(2):
+        target = merge.upsert(target, updates, "truck_id", "event_time", at(9))
+        assert [(r["truck_id"], r["food_name"]) for r in target.collect()] == [("a", "Eggs")]
+
+
 def test_serving_views(spark, readings):
     alert_table = fx.alert_zone(readings).withColumns(
         {"created_at": F.col("event_time"), "spoilage_prob": F.col("storage_risk_score")}
