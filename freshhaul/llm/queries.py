@@ -16,7 +16,7 @@ from freshhaul.llm.mixing import mix
 from freshhaul.llm.ngram_join import Rule, ngram_components
 from freshhaul.llm.quality_classifier import quality_scores
 from freshhaul.llm.repetition import repetition_rules
-from freshhaul.llm.sql import EXACT_DEDUP, MIX
+from freshhaul.llm.sql import EXACT_DEDUP, MIX, REPETITION
 from freshhaul.llm.substring_dedup import without_repeats
 from freshhaul.llm.token_counts import token_counts
 from freshhaul.llm.url_filter import rules, url_verdicts
@@ -76,7 +76,6 @@ def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        "longest_repeat",
         "base_failed",
         "kept",
     )
@@ -132,5 +131,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op6_mix_sources": MIX,
+    "op7_repetition_rules": REPETITION,
     "op8_exact_dedup": EXACT_DEDUP,
 }

@@ -121,3 +121,43 @@ FROM x
 UNION ALL
 SELECT doc_id, size, source_size, target, 0 FROM p1 WHERE size = 0
 """
+
+# Words inside eight-word windows that occur twice are those that the maximal repeats of
+# eight words or more cover; a longest repeat over both limits shows as a window one word
+# longer that occurs twice.
+REPETITION = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         row_number() OVER () AS r
+  FROM documents
+), n AS (
+  SELECT *, len(w)::BIGINT AS n_words, greatest(51, len(w) * 20 // 100 + 1) AS too_long,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), w8 AS (
+  SELECT r, p, list_slice(w, p, p + 7) AS g FROM n, unnest(generate_series(1, n_words - 7)) u(p)
+), twice AS (
+  SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS c FROM w8) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT p + k) AS n_repeat_words
+  FROM twice, unnest(generate_series(0, 7)) v(k) GROUP BY r
+), overlong AS (
+  SELECT DISTINCT r FROM (
+    SELECT r, list_slice(w, p, p + too_long - 1) AS g
+    FROM n JOIN covered USING (r), unnest(generate_series(1, n_words - too_long + 1)) u(p)
+  ) GROUP BY r, g HAVING count(*) > 1
+), m AS (
+  SELECT n.*, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, overlong.r IS NOT NULL AS too_much
+  FROM n LEFT JOIN covered USING (r) LEFT JOIN overlong USING (r)
+), b AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words,
+       length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+       len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+       (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+       n_repeat_words, base_failed,
+       NOT base_failed AND NOT too_much AND 100 * n_repeat_words <= 25 * n_words AS kept
+FROM b
+"""
