@@ -235,7 +235,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     total = segments.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()[0]
     shared = max(1, 2 * total // block)
     columns = ["doc", "start", "stop", "bucket", "first", "last"]
-    none = F.lit(None).cast("bigint")
+    none = F.lit(-1).cast("bigint")  # not null: null numbers inside arrays reach Python as floats
     families = weighed.filter(F.col("weight") <= block).select(
         "doc", "start", "stop",
         F.pmod(F.xxhash64("root"), F.lit(shared)).alias("bucket"),
@@ -248,7 +248,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     of_anchor = alone.groupBy("anchor").agg(F.sum(F.col("stop") - F.col("start")).alias("weight"))
     by_anchor = alone.join(of_anchor, "anchor").withColumn(
         "bucket",
-        F.when(F.col("weight") <= block, shared + F.pmod(F.xxhash64("anchor"), F.lit(4 * shared))),
+        F.when(
+            F.col("weight") <= block, shared + F.pmod(F.xxhash64("anchor"), F.lit(4 * shared))
+        ).otherwise(none),
     )
     wanted = settle(
         families.select(*columns)
@@ -264,7 +266,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
             for doc, text, found in zip(batch["doc"], batch["text"], batch["segments"], strict=True):
                 raw = text.encode()
                 for s in found:
-                    if s["bucket"] is not None:
+                    if s["bucket"] >= 0:
                         out.append((doc, s["start"], int(s["bucket"]), raw[s["start"] : s["stop"]]))
             yield pd.DataFrame(out, columns=["doc", "start", "bucket", "bytes"])
 
@@ -284,7 +286,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
             for doc, text, found in zip(batch["doc"], batch["text"], batch["segments"], strict=True):
                 raw = np.frombuffer(text.encode(), np.uint8)
                 for s in found:
-                    if s["bucket"] is not None:
+                    if s["bucket"] >= 0:
                         continue
                     at = np.arange(s["first"], s["last"] + 1)
                     string = rolling(raw[s["start"] : s["stop"]])(at - s["start"], length)
@@ -297,7 +299,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
         .applyInPandas(search, "doc bigint, start bigint, stop bigint")
     )
     found = whole.union(of_family)
-    large = wanted.filter(F.exists("segments", lambda s: s["bucket"].isNull()))
+    large = wanted.filter(F.exists("segments", lambda s: s["bucket"] < 0))
     if not large.isEmpty():
         strings = (
             with_row(docs, text_of().alias("text"))
