@@ -9,8 +9,13 @@ naive Bayes then weighs the tokens.
 Unigram counts are those of all path words of the table, next to a fixed list of words.
 Naive Bayes learns on all urls: one is an example of class block when its segmented host
 has a marking word of that list, of class allow otherwise. Both classes are smoothed by all
-urls, and class block by the list, so that a rare word of it weighs from the start. Both tables are counters
-of fixed size into which words hash, so what is sent to tasks does not grow.
+urls, and class block by the list, so that a rare word of it weighs from the start.
+
+Both counts are exact tables with a row for each word or token. Distinct hosts, and
+distinct pairs of host and path words, are dealt into blocks by hash. A block asks once for
+each string that it needs, a join finds those that are in the table, and the block works
+with what was found: what a task holds is bounded, and a string that all hosts have in
+common is asked for once a block.
 
 A null url, or one without ``://``, has an empty host and path and no tokens; naive Bayes
 then decides by the shares of the classes. No urls: no rows. Only the url is read.
@@ -19,6 +24,7 @@ then decides by the shares of the classes. No urls: no rows. Only the url is rea
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from math import log
@@ -29,6 +35,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshhaul.llm.common import settle
+
 # Words of hosts that sell or advertise what a corpus should not hold: fixed values.
 UNWANTED = (
     "ad ads adult advert adserver affiliate banner bet bets betting bingo bonus cash casino"
@@ -43,12 +51,11 @@ MARKS = frozenset(
     " hentai jackpot loans lottery meds nude pharmacy pill pills poker porn popup roulette sex sexy"
     " slots spam torrent tracker viagra warez webcam xxx".split()
 )
-#: Counters of words: two rows, of which the lower count holds.
+#: Counters in each of two rows when counts are hashed, of which the lower count holds.
 WORDS = 1 << 18
-#: Counters of tokens for each class.
-TOKENS = 1 << 16
 LONGEST = 24
-HOSTS = 50_000
+#: Hosts, or pairs of host and path words, in a block; blocks of small tables.
+BLOCK, BLOCKS = 1024, 32
 #: Tokens that a class is credited with before any are counted, and the share of them
 #: that comes from the fixed list in class block.
 SMOOTH, LISTED = 20.0, 0.2
@@ -95,8 +102,11 @@ def rule_of(given: list[Rule], host: Column, path: Column) -> tuple[Column, Colu
     return name, verdict
 
 
+PART = r"[^\W\d_]+|\d+"
+
+
 def path_words(path: str) -> list[str]:
-    return [("0" if w.isdigit() else w) for w in re.findall(r"[^\W\d_]+|\d+", path.lower())]
+    return [("0" if w.isdigit() else w) for w in re.findall(PART, path.lower())]
 
 
 def _slots(word: str) -> tuple[int, int]:
@@ -105,15 +115,18 @@ def _slots(word: str) -> tuple[int, int]:
 
 
 class Segmenter:
-    """Words of a host name by unigram Viterbi; ``counts``: the two rows of counters."""
+    """Words of a host name by unigram Viterbi; ``counts``: two rows of hashed counters."""
 
-    def __init__(self, counts: np.ndarray, total: int) -> None:
+    def __init__(self, counts: np.ndarray | dict[str, int], total: int) -> None:
         self.counts, self.total = counts, total
         self.known: dict[str, list[str]] = {}
 
-    def cost(self, word: str) -> float:
+    def count(self, word: str) -> int:
         a, b = _slots(word)
-        n = min(int(self.counts[a]), int(self.counts[b]))
+        return min(int(self.counts[a]), int(self.counts[b]))
+
+    def cost(self, word: str) -> float:
+        n = self.count(word)
         # An unknown word is less likely with each letter.
         return log(self.total) - (log(n) if n else log(10) * (1 - len(word)))
 
@@ -132,122 +145,167 @@ class Segmenter:
         return words[::-1]
 
     def host(self, host: str) -> list[str]:
-        if host not in self.known:
-            if len(self.known) >= HOSTS:
-                self.known = {}
-            parts = re.findall(r"[^\W\d_]+|\d+", host)
-            self.known[host] = [
-                w for p in parts for w in (["0"] if p.isdigit() else self.label(p))
-            ]
-        return self.known[host]
-
-
-def _collect(counts: DataFrame, size: int) -> np.ndarray:
-    """Counters by place; at most ``size`` rows reach the driver."""
-    rows = counts.groupBy("place").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(size, np.int64)
-    out[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
+        words: list[str] = []
+        for part in re.findall(PART, host):
+            if part.isdigit():
+                words.append("0")
+                continue
+            if part not in self.known:
+                self.known[part] = self.label(part)
+            words += self.known[part]
+        return words
+
+
+class ExactSegmenter(Segmenter):
+    """The same by exact counts; a string that is not in ``counts`` is no word."""
+
+    def count(self, word: str) -> int:
+        return self.counts.get(word, 0)
 
 
-def _partial(size: int, add: Callable[[pd.DataFrame, np.ndarray], None]) -> Callable:
-    """Task function: counters of a task that are not zero."""
+def candidates(hosts: Iterable[str]) -> set[str]:
+    """All strings that could be words of the hosts."""
+    labels = {p for h in hosts for p in re.findall(PART, h) if not p.isdigit()}
+    return {
+        t[s:end] for t in labels for end in range(1, len(t) + 1) for s in range(max(0, end - LONGEST), end)
+    }
+
+
+def _counted(items: Callable[[pd.DataFrame], Iterable[tuple]], names: list[str]) -> Callable:
+    """Task function: sums of ``(key.., n)`` of a batch."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(size, np.int64)
         for batch in batches:
-            add(batch, counts)
-        used = np.flatnonzero(counts)
-        yield pd.DataFrame({"place": used, "n": counts[used]})
+            counts: Counter = Counter()
+            for *key, n in items(batch):
+                counts[tuple(key)] += n
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=names, dtype=object)
 
     return run
 
 
-def word_counts(urls: DataFrame) -> tuple[np.ndarray, int]:
-    """Counters of the path words of all urls, and of the fixed words; their sum."""
-
-    def add(batch: pd.DataFrame, counts: np.ndarray) -> None:
-        for path in batch["path"]:
-            for w in path_words(path):
-                a, b = _slots(w)
-                counts[a] += 1
-                counts[b] += 1
-
-    counts = _collect(urls.select("path").mapInPandas(_partial(2 * WORDS, add), "place bigint, n bigint"), 2 * WORDS)
-    for w in UNWANTED:
-        for slot in _slots(w):
-            counts[slot] += PRIOR
-    return counts, max(1, int(counts[:WORDS].sum()))
-
-
-class Bayes:
-    """Log odds of class block. ``counts``: tokens of allow, tokens of block, urls of each."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        allow, block = counts[:TOKENS], counts[TOKENS : 2 * TOKENS]
-        urls = counts[2 * TOKENS :] + 1.0
-        self.bias = log(urls[1] / urls[0])
-        # Each class is smoothed by what all urls have; class block knows the list besides.
-        every = (allow + block) / max(1, allow.sum() + block.sum())
-        fixed = np.zeros(TOKENS)
-        for w in UNWANTED:
-            fixed[crc32(w.encode()) % TOKENS] += 1 / len(UNWANTED)
-        seen = every > 0
-        in_allow = (allow + SMOOTH * every)[seen] / (allow.sum() + SMOOTH)
-        mixed = (1 - LISTED) * every + LISTED * fixed
-        in_block = (block + SMOOTH * mixed)[seen] / (block.sum() + SMOOTH)
-        self.weight = np.zeros(TOKENS)  # a token never seen says nothing
-        self.weight[seen] = np.log(in_block) - np.log(in_allow)
-
-    def odds(self, tokens: list[str]) -> float:
-        return self.bias + float(sum(self.weight[crc32(t.encode()) % TOKENS] for t in tokens))
-
-
-def token_counts(urls: DataFrame, words: np.ndarray, total: int) -> np.ndarray:
-    shared = urls.sparkSession.sparkContext.broadcast((words, total))
-
-    def add(batch: pd.DataFrame, counts: np.ndarray) -> None:
-        split = Segmenter(*shared.value)
-        for host, path in zip(batch["host"], batch["path"], strict=True):
-            names = split.host(host)
-            block = int(not MARKS.isdisjoint(names))
-            counts[2 * TOKENS + block] += 1
-            for t in names + path_words(path):
-                counts[block * TOKENS + crc32(t.encode()) % TOKENS] += 1
-
-    size = 2 * TOKENS + 2
-    return _collect(
-        urls.select("host", "path").mapInPandas(_partial(size, add), "place bigint, n bigint"), size
+def word_counts(kinds: DataFrame) -> tuple[DataFrame, int]:
+    """Exact counts of the path words of all urls, and of the fixed words; their sum."""
+
+    def items(batch: pd.DataFrame) -> Iterator[tuple]:
+        for words, n in zip(batch["words"], batch["n"], strict=True):
+            for w in words.split():
+                yield w, n
+
+    found = kinds.mapInPandas(_counted(items, ["word", "n"]), "word string, n bigint")
+    fixed = kinds.sparkSession.createDataFrame([(w, PRIOR) for w in UNWANTED], "word string, n bigint")
+    counts = settle(found.union(fixed).groupBy("word").agg(F.sum("n").alias("n")), "url-words")
+    return counts, int(counts.agg(F.sum("n")).first()[0])
+
+
+def _by_blocks(
+    items: DataFrame,
+    key: list[str],
+    asked: Callable[[pd.DataFrame], set[str]],
+    table: DataFrame,
+    answer: Callable[[pd.DataFrame, dict], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """``answer`` of each block of ``items``, given the values that ``table`` (word, value)
+    has for the strings that the block asks for; strings not in the table are missing."""
+    blocks = max(BLOCKS, items.count() // BLOCK)
+    items = items.withColumn("part", F.pmod(F.xxhash64(*key), F.lit(blocks)))
+
+    def ask(block: pd.DataFrame) -> pd.DataFrame:
+        words = sorted(asked(block))
+        return pd.DataFrame({"part": [block["part"].iloc[0]] * len(words), "word": words}, dtype=object)
+
+    def solve(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        return answer(block, dict(zip(found["word"], found["value"], strict=True)))
+
+    wanted = items.groupBy("part").applyInPandas(ask, "part bigint, word string")
+    found = wanted.join(table.toDF("word", "value"), "word")
+    return items.groupBy("part").cogroup(found.groupBy("part")).applyInPandas(solve, schema)
+
+
+def segmented(kinds: DataFrame) -> DataFrame:
+    """Distinct hosts with their words, joined by spaces, and whether one of them marks."""
+    counts, total = word_counts(kinds)
+
+    def answer(block: pd.DataFrame, known: dict[str, int]) -> pd.DataFrame:
+        split = ExactSegmenter(known, total)
+        names = [split.host(h) for h in block["host"]]
+        return pd.DataFrame(
+            {
+                "host": block["host"],
+                "names": [" ".join(n) for n in names],
+                "block": [int(not MARKS.isdisjoint(n)) for n in names],
+            },
+            dtype=object,
+        )
+
+    hosts = settle(kinds.select("host").distinct(), "url-hosts")
+    schema = "host string, names string, block bigint"
+    return settle(
+        _by_blocks(hosts, ["host"], lambda b: candidates(b["host"]), counts, answer, schema), "url-names"
     )
 
 
+def token_weights(kinds: DataFrame) -> tuple[DataFrame, float]:
+    """Log odds of class block that each token adds, and those of a url without tokens."""
+
+    def items(batch: pd.DataFrame) -> Iterator[tuple]:
+        for tokens, block, n in zip(batch["tokens"], batch["block"], batch["n"], strict=True):
+            for t in tokens.split():
+                yield t, block, n
+
+    counted = kinds.mapInPandas(
+        _counted(items, ["token", "class", "n"]), "token string, class bigint, n bigint"
+    )
+    of_class = lambda k: F.sum(F.when(F.col("class") == k, F.col("n")).otherwise(0))
+    counts = settle(
+        counted.groupBy("token").agg(of_class(0).alias("allow"), of_class(1).alias("block")), "url-tokens"
+    )
+    allow, block = (int(n or 0) for n in counts.agg(F.sum("allow"), F.sum("block")).first())
+    urls, blocked = (int(n or 0) for n in kinds.agg(F.sum("n"), F.sum(F.col("n") * F.col("block"))).first())
+    # Each class is smoothed by what all urls have; class block knows the list besides.
+    every = (F.col("allow") + F.col("block")) / max(1, allow + block)
+    fixed = F.when(F.col("token").isin(UNWANTED), 1 / len(UNWANTED)).otherwise(0.0)
+    mixed = (1 - LISTED) * every + LISTED * fixed
+    in_allow = (F.col("allow") + SMOOTH * every) / (allow + SMOOTH)
+    in_block = (F.col("block") + SMOOTH * mixed) / (block + SMOOTH)
+    weights = counts.select("token", (F.log(in_block) - F.log(in_allow)).alias("weight"))
+    return weights, log((blocked + 1) / (urls - blocked + 1))
+
+
+def kind_odds(kinds: DataFrame) -> DataFrame:
+    """Log odds of class block for each pair of host and path words."""
+    tokens = F.concat_ws(" ", "names", "words").alias("tokens")
+    kinds = settle(
+        kinds.join(segmented(kinds), "host").select("host", "words", "n", "block", tokens), "url-tokens-of"
+    )
+    weights, bias = token_weights(kinds)
+
+    def answer(block: pd.DataFrame, known: dict[str, float]) -> pd.DataFrame:
+        odds = [bias + sum(known[t] for t in tokens.split()) for tokens in block["tokens"]]
+        return pd.DataFrame({"host": block["host"], "words": block["words"], "odds": odds}, dtype=object)
+
+    schema = "host string, words string, odds double"
+    asked = lambda b: {t for tokens in b["tokens"] for t in tokens.split()}
+    return settle(_by_blocks(kinds, ["host", "words"], asked, weights, answer, schema), "url-odds")
+
+
+def _words_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for paths in batches:
+        yield pd.Series([" ".join(path_words(p)) for p in paths], dtype=object)
+
+
 def url_verdicts(pages: DataFrame, given: list[Rule], url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, odds (of class block by naive Bayes) and verdict."""
     host, path = host_and_path(F.col(url))
-    urls = pages.select(host.alias("host"), path.alias("path"))
-    words, total = word_counts(urls)
-    counts = token_counts(urls, words, total)
-    shared = pages.sparkSession.sparkContext.broadcast((words, total, counts))
-
-    @F.pandas_udf("double")
-    def odds(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        w, n, c = shared.value
-        split, bayes = Segmenter(w, n), Bayes(c)
-        for hosts, paths in batches:
-            yield pd.Series(
-                [
-                    bayes.odds(split.host(h) + path_words(p))
-                    for h, p in zip(hosts, paths, strict=True)
-                ],
-                dtype="float64",
-            )
-
+    parts = [host.alias("host"), F.pandas_udf(_words_of, "string")(path).alias("words")]
+    kinds = settle(pages.select(*parts).groupBy("host", "words").agg(F.count("*").alias("n")), "url-kinds")
+    row = F.struct(*[F.col(f"`{n}`") for n in pages.columns]).alias("row")
+    judged = pages.select(row, *parts, path.alias("path")).join(kind_odds(kinds), ["host", "words"], "left")
+    host, path, odds = F.col("judged.host"), F.col("judged.path"), F.col("judged.odds")
     rule, verdict = rule_of(given, host, path)
-    by_method = F.when(F.col("odds") > 0, "block").otherwise("allow")
-    return (
-        pages.withColumn("odds", odds(host, path))
-        .withColumn("host", host)
-        .withColumn("path", path)
-        .withColumn("rule", rule)
-        .withColumn("verdict", F.coalesce(verdict, by_method))
-    )
+    by_method = F.when(odds > 0, "block").otherwise("allow")
+    added = {"odds": odds, "host": host, "path": path, "rule": rule, "verdict": F.coalesce(verdict, by_method)}
+    out = judged.select("row", F.struct("host", "path", "odds").alias("judged"))
+    kept = [added.get(n, F.col(f"row.`{n}`")).alias(n) for n in pages.columns]
+    return out.select(*kept, *[c.alias(n) for n, c in added.items() if n not in pages.columns])

@@ -79,3 +79,26 @@ def test_names_in_one_piece_are_judged(spark):
     got = {r.url: r.verdict for r in uf.url_verdicts(pages, []).collect()}
     assert all(got[u] == "allow" for u in urls[:200])
     assert all(got[u] == "block" for u in urls[200:])
+
+
+def test_names_fall_apart_among_many_path_words(spark):
+    """600,000 distinct path words: hashed counters of a fixed size take any string for a word."""
+    rng = np.random.default_rng(9)
+    letters = np.array(list("bdfghjkqvwyz"))
+    rows = []
+    for i in range(400):
+        drawn = rng.choice(letters, (1500, 10))
+        rows.append((f"http://site{chr(97 + i % 20)}.example.org/" + "-".join(map("".join, drawn)),))
+    named = [f"http://{n}.example.org/" for n in ("freecasinobonus", "cheapviagra", "pornwebcam", "cheappills")]
+    pages = spark.createDataFrame(rows + [(u,) for u in named], "url string").repartition(8)
+    got = {r.url: r.verdict for r in uf.url_verdicts(pages, []).select("url", "verdict").collect()}
+    assert [got[u] for u in named] == ["block"] * 4
+    assert all(got[u] == "allow" for u, in rows)
+
+
+def test_counts_are_exact(spark):
+    kinds = spark.createDataFrame([("a", "x y 0", 2), ("b", "x casino", 3), ("b", "", 1)], "host string, words string, n long")
+    counts, total = uf.word_counts(kinds)
+    got = {r.word: r.n for r in counts.collect()}
+    want = dict.fromkeys(uf.UNWANTED, uf.PRIOR) | {"x": 5, "y": 2, "0": 2, "casino": uf.PRIOR + 3}
+    assert got == want and total == sum(want.values())
