@@ -8,6 +8,10 @@ are tied by edges that are the stronger the closer they are in the DOM. The mini
 that graph is the labelling that costs least: short paragraphs follow their neighbours,
 while menus, notices or comments between paragraphs are cut out.
 
+Hidden elements and elements for menus, asides or controls are taken out by a cost that
+nothing outweighs. A class word such as ``sidebar`` or a form costs a fixed amount, and
+nothing around nearly all text of the page: an aside has something beside it.
+
 Every block of the page is labelled and kept whole or dropped whole. Null and empty html,
 and pages without text, give an empty text. Broken html is read as far as it goes: a tag
 cut off at the end counts as a tag, a ``<`` that opens none is text. Pages are independent
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +45,7 @@ UNREAD = frozenset(
 )
 RAW = frozenset("iframe noframes noscript script style textarea title xmp".split())
 ASIDE = frozenset(
-    "aside button dialog fieldset footer form label menu nav search select".split()
+    "aside button dialog fieldset footer label menu nav search select".split()
 )
 ARTICLE = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -59,10 +64,15 @@ BAD_WORDS = frozenset(
     " social sponsor sponsored subscribe taboola toolbar widget".split()
 )
 GOOD_WORDS = frozenset("article articlebody content entry main post story".split())
+#: Words that make the rest of a class name a statement about the page: ``has-sidebar``.
+ABOUT = frozenset("has no with without".split())
 NOTES = re.compile(r"©|\bcookies?\b|all rights reserved", re.IGNORECASE)
 
 # The classifier: log odds of content, in hundredths.
 BIAS, IN_ARTICLE, IN_CONTENT, IN_ASIDE = -50, 300, 150, -1500
+#: Cost inside an element with a bad word or a form; in full up to that share of the page's
+#: text without links, and falling to none at the other.
+SOFT, PART, WHOLE = -500, 0.75, 0.95
 PER_CHAR, MOST_CHARS, SENTENCE, HEADING = 0.5, 400, 50, 50
 LINKS, LINKS_IN_ARTICLE, NOTE = -400, -200, -150
 #: Cost of a boundary between two blocks at DOM distance 0, and between two of one parent.
@@ -73,8 +83,9 @@ TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)",
     re.DOTALL,
 )
-MARKS = re.compile(
-    r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE
+# A quoted string without a name is read over.
+ATTRIBUTE = re.compile(
+    r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
 )
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)]*(?:\s|$)")
@@ -88,38 +99,64 @@ class Block:
 
 
 class _Open:
-    """An open element: its tag, number and the kind of region it makes."""
+    """An open element: its tag, number, the region it makes and what costs inside."""
 
-    __slots__ = ("tag", "number", "region", "unread")
+    __slots__ = ("tag", "number", "region", "unread", "soft")
 
-    def __init__(self, tag: str, number: int, region: int, unread: bool) -> None:
+    def __init__(self, tag: str, number: int, region: int, unread: bool, soft: int) -> None:
         self.tag, self.number, self.region, self.unread = tag, number, region, unread
+        self.soft = soft  # number of the innermost element around that costs, 0 without one
+
+
+def attributes_of(raw: str) -> dict[str, str]:
+    """Attributes of a start tag by name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(raw):
+        if name:
+            out.setdefault(name.lower(), value.strip("\"'"))
+    return out
 
 
-def region_of(tag: str, attributes: str, parent: int) -> int:
-    """Odds by the region that an element makes, inside one with the odds ``parent``."""
+def words_of(value: str) -> set[str]:
+    """Words of the names in a class, id or role."""
+    out: set[str] = set()
+    for name in value.split():
+        for word in WORD.findall(name):
+            if word.lower() in ABOUT:
+                break
+            out.add(word.lower())
+    return out
+
+
+def region_of(tag: str, raw: str, parent: int) -> tuple[int, bool]:
+    """Odds by the region that an element makes, inside one with the odds ``parent``, and
+    whether it costs besides."""
     if parent == IN_ASIDE or tag in ASIDE:
-        return IN_ASIDE
+        return IN_ASIDE, False
     if tag == "header" and parent < IN_ARTICLE:
-        return IN_ASIDE
+        return IN_ASIDE, False
     words: set[str] = set()
-    if attributes and tag not in ("html", "body"):
-        for name, value in MARKS.findall(attributes):
-            name, value = name.lower(), value.strip("\"'")
-            if name in ("class", "id", "role"):
-                words.update(w.lower() for w in WORD.findall(value))
-            elif (
-                name == "hidden"
-                or (name == "aria-hidden" and value.lower() == "true")
-                or (name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE))
-            ):
-                return IN_ASIDE
+    if raw and tag not in ("html", "body"):
+        found = attributes_of(raw)
+        if (
+            "hidden" in found
+            or found.get("aria-hidden", "").lower() == "true"
+            or re.search(r"display\s*:\s*none", found.get("style", ""), re.IGNORECASE)
+        ):
+            return IN_ASIDE, False
+        words = words_of(" ".join(found.get(name, "") for name in ("class", "id", "role")))
     good = not GOOD_WORDS.isdisjoint(words)
-    if not BAD_WORDS.isdisjoint(words) and not good:
-        return IN_ASIDE
-    if tag in ARTICLE and BAD_WORDS.isdisjoint(words):
-        return IN_ARTICLE
-    return max(parent, IN_CONTENT) if good else parent
+    bad = not BAD_WORDS.isdisjoint(words)
+    if tag == "main" or (tag in ARTICLE and not bad):
+        return IN_ARTICLE, bad and not good
+    if tag == "form" or (bad and not good):
+        return IN_CONTENT if good else 0, True
+    return max(parent, IN_CONTENT) if good else parent, False
+
+
+def soft_cost(share: float) -> float:
+    """What it costs to be in an element with a bad word, by its share of the page's text."""
+    return SOFT * min(1.0, max(0.0, (WHOLE - share) / (WHOLE - PART)))
 
 
 def odds_of(text: str, linked: int, region: int, heading: bool) -> int:
@@ -138,11 +175,17 @@ def odds_of(text: str, linked: int, region: int, heading: bool) -> int:
 def blocks_of(page: str) -> list[Block]:
     """Blocks of text in page order."""
     out: list[Block] = []
+    soft_of: list[int] = []  # of each block
+    outer: dict[int, int] = {0: 0}  # elements that cost, with the next such around each
+    inside: Counter[int] = Counter()  # letters without links in each of them
+    total = 0
     stack: list[_Open] = []
     parts: list[str] = []
     linked, links, number, at = 0, 0, 0, 0
-    # Text belongs to the block that was open when its first piece came.
-    place: tuple[tuple[int, ...], int, bool] | None = None
+    # Text belongs to the block that was open when its first piece came, and to the region
+    # that holds most of its letters.
+    place: tuple[tuple[int, ...], bool] | None = None
+    regions: Counter[tuple[int, int]] = Counter()
 
     def text_piece(raw: str) -> None:
         nonlocal linked, place
@@ -150,21 +193,27 @@ def blocks_of(page: str) -> list[Block]:
             return
         if place is None and raw.strip():
             path = tuple(e.number for e in stack if e.tag in BLOCKS)
-            place = (
-                path, stack[-1].region if stack else 0, any(e.tag in HEADINGS for e in stack)
-            )
+            place = path, any(e.tag in HEADINGS for e in stack)
         parts.append(raw)
+        regions[(stack[-1].region, stack[-1].soft) if stack else (0, 0)] += len(raw.strip())
         if links:
             linked += len(raw)
 
     def end_block() -> None:
-        nonlocal linked, place
+        nonlocal linked, place, total
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text and place:
-                path, region, heading = place
+                path, heading = place
+                region, soft = max(regions, key=regions.__getitem__)
                 out.append(Block(text, odds_of(text, linked, region, heading), path))
+                soft_of.append(soft)
+                if region != IN_ASIDE:
+                    letters = max(0, len(text) - linked)
+                    total += letters
+                    inside[soft] += letters
             parts.clear()
+        regions.clear()
         linked, place = 0, None
 
     def close(depth: int) -> None:
@@ -210,14 +259,24 @@ def blocks_of(page: str) -> list[Block]:
             continue
         parent = stack[-1] if stack else None
         unread = name in UNREAD or bool(parent and parent.unread)
-        region = region_of(name, tag[3], parent.region if parent else 0)
+        region, costs = region_of(name, tag[3], parent.region if parent else 0)
         number += 1
-        stack.append(_Open(name, number, region, unread))
+        soft = parent.soft if parent else 0
+        if costs:
+            outer[number] = soft
+            soft = number
+        stack.append(_Open(name, number, region, unread, soft))
         links += name == "a"
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.IGNORECASE).search(page, at)
             at = end.start() if end else len(page)
     end_block()
+    for element in sorted(outer, reverse=True)[:-1]:
+        inside[outer[element]] += inside[element]
+    # The innermost holds the least and so costs the most.
+    for block, soft in zip(out, soft_of, strict=True):
+        if soft:
+            block.odds += round(soft_cost(inside[soft] / max(1, total)))
     return out
 
 

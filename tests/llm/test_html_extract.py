@@ -77,3 +77,50 @@ def test_odd_rows(spark):
     got = [(r.page_id, r.main) for r in pages.withColumn("main", extracted()).collect()]
     assert got == [(1, ""), (2, ""), (3, PARAGRAPH), (3, PARAGRAPH)]
     assert pages.filter("page_id < 0").select(extracted()).count() == 0
+
+
+@pytest.mark.parametrize(
+    "link",
+    [
+        '<a href="/hidden-valley">Here</a>', '<a title="The hidden valley" href=/x>Here</a>',
+        '<a data-hidden="false">Here</a>', '<a href="/read?id=comment">Here</a>',
+        "<a href=/x?class=sidebar>Here</a>", '<a class="share" href=x>Here</a>', '<label>Here</label>',
+    ],
+)
+def test_attributes_by_exact_names(link):
+    first = f"{link} is a paragraph of the story that starts with a link and goes on. It ends here."
+    page = f"<article><p>{PARAGRAPH}</p><p>{first}</p><p>{PARAGRAPH}</p></article>"
+    assert main_text(page) == "\n".join([PARAGRAPH, re.sub("<[^>]*>", "", first), PARAGRAPH])
+    box = link.split(">")[0].replace("<a", "<div", 1)
+    if "data-hidden" in box or "valley" in box:
+        assert main_text(f"<main>{box}><p>{PARAGRAPH}</p></div></main>") == PARAGRAPH
+
+
+@pytest.mark.parametrize("mark", ["hidden", 'HIDDEN=""', "data-x='a b' hidden", "aria-hidden=true", "style='display:none'"])
+def test_hidden_elements_stay_out(mark):
+    page = f"<article><p>{PARAGRAPH}</p><div {mark}><p>{PARAGRAPH} Not seen.</p></div><p>{PARAGRAPH}</p></article>"
+    assert main_text(page) == f"{PARAGRAPH}\n{PARAGRAPH}"
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        '<div class="row has-sidebar"><article>{}</article>{}</div>', '<main class="no-sidebar">{}</main>{}',
+        "<form action=x><div>{}</div>{}</form>", '<div class="sidebar-left">{}{}</div>',
+        '<main class="sidebar-left">{}{}</main>', '<form><main>{}</main>{}</form>',
+        '<div class="modal-page"><article>{}</article></div>{}',
+    ],
+)
+def test_wrappers_with_bad_words_keep_the_article(wrap):
+    aside = '<div class="sidebar"><p>Popular stories of the week.</p></div>'
+    body = f"<h1>The title</h1><p>{PARAGRAPH}</p><p>Short.</p>" + f"<p>{PARAGRAPH}</p>" * 4
+    page = f"<html><body><nav><a href=x>Home</a></nav>{wrap.format(body, aside)}<footer>us</footer></body></html>"
+    assert main_text(page) == "\n".join(["The title", PARAGRAPH, "Short."] + [PARAGRAPH] * 4)
+
+
+def test_long_comments_below_a_short_article_stay_out():
+    comments = "".join(f'<div class="comment"><p>{PARAGRAPH} Said reader {i}.</p></div>' for i in range(6))
+    page = f'<article><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></article><div id="comments">{comments}</div>'
+    assert main_text(page) == f"{PARAGRAPH}\n{PARAGRAPH}"
+    page = f'<article><p>{PARAGRAPH}</p></article><div class="related"><article><p>{PARAGRAPH[:60]}</p></article></div>'
+    assert main_text(page) == PARAGRAPH
