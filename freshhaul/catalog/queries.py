@@ -39,7 +39,7 @@ from freshhaul.plans.training import (
     production_shelf_life,
     train_and_gate,
 )
-from freshhaul.reference import FOOD_NAMES, food_ref
+from freshhaul.reference import FOOD_NAMES, HOLDOUT_TRUCKS, food_ref
 from freshhaul.schemas import CORE_FEATURES, PARTITIONS, PROCESSED, SENSORS, duplicate_keys
 from freshhaul.session import scratch_path
 from freshhaul.sinks import files as file_sinks
@@ -1009,10 +1009,14 @@ def _(df: DataFrame) -> DataFrame:
     return featurize.scored(_rated(df)).select("event_id", "ml_predicted_class", "prob_spoiled")
 
 
+def _food_label() -> Column:
+    turn = F.array_position(F.array(*[F.lit(name.lower()) for name in FOOD_NAMES]), F.lower("food_name"))
+    return (F.coalesce(turn, F.lit(0)) % 3).cast("int")
+
+
 def _by_food(df: DataFrame) -> DataFrame:
     """Readings whose label is a function of the food alone, so that SQL knows each class."""
-    turn = F.array_position(F.array(*[F.lit(name.lower()) for name in FOOD_NAMES]), F.lower("food_name"))
-    return fx.rated(df).withColumn("spoiled", (F.coalesce(turn, F.lit(0)) % 3).cast("int"))
+    return fx.rated(df).withColumn("spoiled", _food_label())
 
 
 _BY_FOOD_SQL = (
@@ -1034,6 +1038,64 @@ def _(df: DataFrame) -> DataFrame:
     )
 
 
+_SCORES = ["event_id", "predicted_class", "predicted_label", "p_fresh", "p_at_risk", "p_spoiled"]
+
+
+@register("ml1_ml2_probabilities")
+def _(df: DataFrame) -> DataFrame:
+    """The scores themselves, which SQL cannot give: classes with their probabilities."""
+    rows = _by_food(df)
+    return classifier.score(rows, classifier.train_classifier(rows)).select(*_SCORES)
+
+
+@register("ml2_production_scores")
+def _(df: DataFrame) -> DataFrame:
+    """Scores by the version that is in production, read back from the registry's folder."""
+    spark, root = df.sparkSession, scratch_path(df.sparkSession, "production")
+    train_and_gate(spark, df.withColumn("spoiled", _food_label()), root, NOW)
+    return classifier.score(fx.rated(df), production_classifier(spark, root)).select(*_SCORES)
+
+
+def _shelf_life_fit(rows: DataFrame) -> tuple:
+    stats = enrich.settled(metrics.fit_scaler(rows, shelf_life.STEP_INPUTS))
+    return shelf_life.train_shelf_life(metrics.apply_scaler(rows, stats, shelf_life.STEP_INPUTS)), stats
+
+
+@register("ml3_shelf_life_hours")
+def _(df: DataFrame) -> DataFrame:
+    """Hours by the model for each truck; beside them its error on trucks that it was not
+    fitted on, and that of the mean of the others."""
+    rows = fx.rated(df)
+    train, test = sampling.holdout_keys(rows, "truck_id", HOLDOUT_TRUCKS)
+    model, stats = _shelf_life_fit(train)
+    scaled = metrics.apply_scaler(rows, stats, shelf_life.STEP_INPUTS)
+    guesses = shelf_life.predict_sequences(
+        shelf_life.training_sequences(metrics.apply_scaler(test, stats, shelf_life.STEP_INPUTS)), model
+    )
+    mean = shelf_life.training_sequences(train).agg(F.avg(shelf_life.TARGET)).first()[0]
+    tested = enrich.settled(
+        guesses.select(shelf_life.TARGET, "predicted_hours", F.lit(mean).alias("mean_hours"))
+    )
+    errors = metrics.regression_metrics(tested, shelf_life.TARGET, "predicted_hours").first()
+    naive = metrics.regression_metrics(tested, shelf_life.TARGET, "mean_hours").first()
+    return shelf_life.predict_latest(scaled, model).select(
+        "truck_id",
+        "predicted_hours",
+        F.lit(errors["mae"]).alias("model_mae"),
+        F.lit(naive["mae"]).alias("mean_mae"),
+    )
+
+
+@register("ml3_latest_model_or_rule")
+def _(df: DataFrame) -> DataFrame:
+    """Hours by the model, and by the formula for every seventh truck, which has nine readings."""
+    rows = fx.rated(df)
+    order = Window.partitionBy("truck_id").orderBy(F.desc("event_time"), F.desc("event_id"))
+    few = rows.filter(fx.truck_number() % 7 == 0).withColumn("_rn", F.row_number().over(order))
+    some = rows.filter(fx.truck_number() % 7 != 0).unionByName(few.filter("_rn <= 9").drop("_rn"))
+    return shelf_life.latest_or_rule(some, _shelf_life_fit(some))
+
+
 @register(
     "ml3_shelf_life_latest",
     "SELECT truck_id, true AS not_negative, true AS in_tenths FROM rated_batch GROUP BY truck_id HAVING count(*) >= 10",
@@ -1255,6 +1317,25 @@ def _(df: DataFrame) -> DataFrame:
     )
 
 
+@register("jb6_two_runs")
+def _(df: DataFrame) -> DataFrame:
+    """The registry after two runs, with the metric, decision and split sizes of each version."""
+    spark, root = df.sparkSession, scratch_path(df.sparkSession, "runs")
+    rows = []
+    for day in range(2):
+        result = train_and_gate(spark, df, root, NOW + timedelta(days=day))
+        for model in (CLASSIFIER, REGRESSOR):
+            sizes = result["split"][model]
+            rows.append((model, result[model]["version"], result[model]["decision"], sizes["train"], sizes["test"]))
+    runs = spark.createDataFrame(
+        rows, "model string, version int, decision string, train_rows bigint, test_rows bigint"
+    )
+    registry = tables.read_snapshot(spark, f"{root}/registry", "registry")
+    return registry.join(runs, ["model", "version"], "left").select(
+        "model", "version", "stage", "metric", "decision", "train_rows", "test_rows"
+    )
+
+
 @register("snk5_snk15_verify_features", _LABEL_SUMMARY)
 def _(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "features")
