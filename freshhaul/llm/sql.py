@@ -161,3 +161,79 @@ SELECT doc_id, n_words,
        NOT base_failed AND NOT too_much AND 100 * n_repeat_words <= 25 * n_words AS kept
 FROM b
 """
+
+LINE_DEDUP = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d
+), k AS MATERIALIZED (
+  SELECT r, i, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), often AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+), s AS (
+  SELECT r, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n
+  FROM k WHERE key NOT IN (FROM often) GROUP BY r
+)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (r)
+"""
+
+# The CRC-32 of a decimal number, bit by bit.
+_CRC = """
+xor(list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda s, b: list_reduce(
+    list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda t, z: xor(t >> 1, (t & 1) * 3988292384::BIGINT))
+), 4294967295::BIGINT)
+"""
+
+CONVERSATION_TRIE = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (
+           PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, coalesce(role, ''),
+             sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+         ) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM t
+), r AS (
+  SELECT c.conv_id, 0 AS side, b.place, b.role, b.text
+  FROM c JOIN t AS b ON b.conv_id = c.base AND b.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.place, o.role, o.text FROM c JOIN t AS o ON o.conv_id = c.conv_id AND o.place > c.h
+), l AS (
+  SELECT c.conv_id,
+         coalesce(list({{'role': role, 'text': text}} ORDER BY side, place) FILTER (role IS NOT NULL), []) AS turns
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id
+), p AS (
+  SELECT conv_id, d AS depth, turns[1:d] AS node, len(turns) = d AS ends
+  FROM l, unnest(range(0, len(turns) + 1)) AS u(d)
+), n AS MATERIALIZED (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY node, depth
+), k AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+), w AS MATERIALIZED (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE
+           (n_convs - 1) * len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM n LEFT JOIN k ON k.node = n.node
+), s AS (
+  SELECT node[1:d] AS node, sum(saved)::BIGINT AS saved_tokens,
+         count(*) FILTER (n_children = 0) AS n_leaves
+  FROM w, unnest(range(0, depth + 1)) AS u(d) GROUP BY 1
+)
+SELECT w.conv_id, w.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, w.n_convs, w.n_children::BIGINT AS n_children,
+       s.n_leaves, s.saved_tokens, w.ends_sha256
+FROM w JOIN s ON s.node = w.node
+LEFT JOIN n AS q ON w.depth > 0 AND q.node = w.node[1:w.depth - 1]
+"""
