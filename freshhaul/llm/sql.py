@@ -225,7 +225,7 @@ WITH t AS (
 ), w AS MATERIALIZED (
   SELECT n.*, coalesce(k.n_children, 0) AS n_children,
          CASE WHEN depth = 0 THEN 0 ELSE
-           (n_convs - 1) * len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+           (n_convs - 1) * len(regexp_extract_all(n.node[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
   FROM n LEFT JOIN k ON k.node = n.node
 ), s AS (
   SELECT node[1:d] AS node, sum(saved)::BIGINT AS saved_tokens,
