@@ -87,25 +87,54 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(
     r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
 )
+#: Elements with children that a slash makes empty, and that slash: not one of a value.
+FOREIGN = ("svg", "math")
+EMPTY = re.compile(r"(?:^|[\s\"'])/$")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)]*(?:\s|$)")
 
 
+class Place:
+    """A block element of the page, known by its parent and depth."""
+
+    __slots__ = ("parent", "depth")
+
+    def __init__(self, parent: Place | None) -> None:
+        self.parent = parent
+        self.depth = parent.depth + 1 if parent else 0
+
+
+def apart(a: Place, b: Place) -> int:
+    """Steps in the tree from one place to the other."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
+
+
 @dataclass
 class Block:
     text: str
     odds: int
-    path: tuple[int, ...]
+    place: Place
 
 
 class _Open:
-    """An open element: its tag, number, the region it makes and what costs inside."""
+    """An open element: its tag, the region it makes, what costs inside and where it is."""
 
-    __slots__ = ("tag", "number", "region", "unread", "soft")
+    __slots__ = ("tag", "region", "unread", "soft", "place", "heading", "block")
 
-    def __init__(self, tag: str, number: int, region: int, unread: bool, soft: int) -> None:
-        self.tag, self.number, self.region, self.unread = tag, number, region, unread
+    def __init__(
+        self, tag: str, region: int, unread: bool, soft: int, place: Place, heading: bool, block: int
+    ) -> None:
+        self.tag, self.region, self.unread = tag, region, unread
         self.soft = soft  # number of the innermost element around that costs, 0 without one
+        self.place, self.heading = place, heading
+        self.block = block  # where the innermost open block element is, -1 without one
 
 
 def attributes_of(raw: str) -> dict[str, str]:
@@ -180,11 +209,13 @@ def blocks_of(page: str) -> list[Block]:
     inside: Counter[int] = Counter()  # letters without links in each of them
     total = 0
     stack: list[_Open] = []
+    opened: Counter[str] = Counter()  # open elements by tag
+    root = Place(None)
     parts: list[str] = []
-    linked, links, number, at = 0, 0, 0, 0
+    linked, number, at = 0, 0, 0
     # Text belongs to the block that was open when its first piece came, and to the region
     # that holds most of its letters.
-    place: tuple[tuple[int, ...], bool] | None = None
+    place: tuple[Place, bool] | None = None
     regions: Counter[tuple[int, int]] = Counter()
 
     def text_piece(raw: str) -> None:
@@ -192,11 +223,10 @@ def blocks_of(page: str) -> list[Block]:
         if stack and stack[-1].unread:
             return
         if place is None and raw.strip():
-            path = tuple(e.number for e in stack if e.tag in BLOCKS)
-            place = path, any(e.tag in HEADINGS for e in stack)
+            place = (stack[-1].place, stack[-1].heading) if stack else (root, False)
         parts.append(raw)
         regions[(stack[-1].region, stack[-1].soft) if stack else (0, 0)] += len(raw.strip())
-        if links:
+        if opened["a"]:
             linked += len(raw)
 
     def end_block() -> None:
@@ -204,9 +234,9 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text and place:
-                path, heading = place
+                where, heading = place
                 region, soft = max(regions, key=regions.__getitem__)
-                out.append(Block(text, odds_of(text, linked, region, heading), path))
+                out.append(Block(text, odds_of(text, linked, region, heading), where))
                 soft_of.append(soft)
                 if region != IN_ASIDE:
                     letters = max(0, len(text) - linked)
@@ -217,9 +247,8 @@ def blocks_of(page: str) -> list[Block]:
         linked, place = 0, None
 
     def close(depth: int) -> None:
-        nonlocal links
         for e in stack[depth:]:
-            links -= e.tag == "a"
+            opened[e.tag] -= 1
         del stack[depth:]
 
     while True:
@@ -238,24 +267,24 @@ def blocks_of(page: str) -> list[Block]:
         elif name == "br":
             parts.append(" ")
         if tag[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == name), None)
-            if depth is not None:
-                close(depth)
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == name))
             continue
         if name in BLOCKS and name not in ("option",):
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag in BLOCKS), None)
-            if depth is not None and stack[depth].tag == "p":
+            depth = stack[-1].block if stack else -1
+            if depth >= 0 and stack[depth].tag == "p":
                 close(depth)
-        if name in CLOSES:
+        if name in CLOSES and any(opened[tag] for tag in CLOSES[name]):
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth].tag in CLOSES[name]:
                     close(depth)
                     break
                 if stack[depth].tag in ("ul", "ol", "dl", "table", "menu", "select"):
                     break
-        if name == "body" and any(e.unread for e in stack):
+        if name == "body" and stack and stack[-1].unread:
             close(next(i for i, e in enumerate(stack) if e.unread))  # a head left open
-        if name in VOID or tag[3].endswith("/"):
+        foreign = name in FOREIGN or any(opened[tag] for tag in FOREIGN)
+        if name in VOID or (foreign and EMPTY.search(tag[3])):
             continue
         parent = stack[-1] if stack else None
         unread = name in UNREAD or bool(parent and parent.unread)
@@ -265,8 +294,11 @@ def blocks_of(page: str) -> list[Block]:
         if costs:
             outer[number] = soft
             soft = number
-        stack.append(_Open(name, number, region, unread, soft))
-        links += name == "a"
+        inner, heading, block = (parent.place, parent.heading, parent.block) if parent else (root, False, -1)
+        if name in BLOCKS:
+            inner, block = Place(inner), len(stack)
+        stack.append(_Open(name, region, unread, soft, inner, heading or name in HEADINGS, block))
+        opened[name] += 1
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.IGNORECASE).search(page, at)
             at = end.start() if end else len(page)
@@ -283,18 +315,11 @@ def blocks_of(page: str) -> list[Block]:
 def smoothness(blocks: list[Block]) -> list[tuple[int, int, int]]:
     """Edges between blocks: next to each other, or of one parent, with their capacities."""
     edges = []
-    last: dict[tuple[int, ...], int] = {}
+    last: dict[Place, int] = {}
     for i, block in enumerate(blocks):
         if i:
-            before = blocks[i - 1].path
-            common = 0
-            for a, b in zip(before, block.path):
-                if a != b:
-                    break
-                common += 1
-            apart = len(before) + len(block.path) - 2 * common
-            edges.append((i - 1, i, NEXT * 2 // (2 + apart)))
-        parent = block.path[:-1]
+            edges.append((i - 1, i, NEXT * 2 // (2 + apart(blocks[i - 1].place, block.place))))
+        parent = block.place.parent or block.place
         if last.get(parent, i - 1) < i - 1:
             edges.append((last[parent], i, SAME_PARENT))
         last[parent] = i

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from html import unescape
 from itertools import product
 
@@ -124,3 +125,22 @@ def test_long_comments_below_a_short_article_stay_out():
     assert main_text(page) == f"{PARAGRAPH}\n{PARAGRAPH}"
     page = f'<article><p>{PARAGRAPH}</p></article><div class="related"><article><p>{PARAGRAPH[:60]}</p></article></div>'
     assert main_text(page) == PARAGRAPH
+
+
+def test_a_slash_of_a_value_closes_nothing():
+    story = "<article><p>" + "This is what the story tells. " * 20 + "</p></article>"
+    plain = main_text(f"<body>{story}</body>")
+    for menu in (
+        "<nav data-u=/a/><p>Menu of one, two and three.</p></nav>",
+        "<div class=sidebar data-u=/a/><p>Side by side.</p></div>",
+        "<nav><svg><path d='x'/><a href=/x/>Up</a></svg><a href=/x/>Home is here</a></nav>",
+    ):
+        assert main_text(f"<body>{menu}{story}{menu}</body>") == plain
+    assert main_text(f"<body><div/>{story}</body>") == plain
+
+
+def test_open_tags_take_proportional_time():
+    start = time.perf_counter()
+    main_text("<div><p>x" * 8_000)
+    main_text("<div>" * 5_000 + "<li></li>" * 5_000 + "</i>" * 5_000 + "<b>" * 2_000 + "<div>x</div>" * 5_000)
+    assert time.perf_counter() - start < 10
