@@ -120,23 +120,41 @@ def common_prefixes(
 
 
 def maximal_repeats(
-    order: np.ndarray, lcp: np.ndarray, words: np.ndarray, end: np.ndarray, left: np.ndarray
-) -> Iterator[tuple[np.ndarray, int]]:
-    """Positions and length in words of each maximal repeat of ``WINDOW`` words or more."""
-    stack: list[list] = []  # [length, first place in order]
+    order: np.ndarray, lcp: np.ndarray, words: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths in words of maximal repeats that cover all those of ``WINDOW`` or more.
+
+    A suffix is handled once, in the longest of its intervals: its shorter repeats lie
+    within. An interval whose occurrences all follow the same word is not maximal; what it
+    covers is inside the occurrences of the repeat that begins with that word.
+    """
+    starts: list[int] = []
+    lengths: list[int] = []
+    earlier = np.maximum(order - 1, 0)
+    begins = (order == 0) | (end[earlier] != end[order])
+    before = np.where(begins, -1, words[earlier]).tolist()
     heights = lcp.tolist() + [0]
-    for place in range(1, len(heights)):
-        h, low = heights[place], place - 1
-        while stack and stack[-1][0] > h:
-            length, low = stack.pop()
-            starts = order[low:place]
-            # Words before the occurrences: one that differs, or a text's beginning, ends it.
-            begins = (starts == 0) | (end[np.maximum(starts - 1, 0)] != end[starts])
-            before = np.where(begins, -1, words[np.maximum(starts - 1, 0)])
-            if length >= WINDOW and (begins.any() or (before != before[0]).any()):
-                yield starts, length
-        if h and (not stack or stack[-1][0] < h):
-            stack.append([h, low])
+    at = order.tolist()
+    stack: list[list] = []  # [length, word before, whether words before differ, own starts]
+    for place, word in enumerate(before):
+        after = heights[place + 1]
+        if after and (not stack or stack[-1][0] < after):
+            stack.append([after, word, word < 0, []])
+        if not stack:
+            continue
+        top = stack[-1]
+        top[2] = top[2] or word != top[1] or word < 0
+        top[3].append(at[place])
+        while stack and stack[-1][0] > after:
+            length, word, differ, own = stack.pop()
+            if length >= WINDOW and differ:
+                starts += own
+                lengths += [length] * len(own)
+            if stack and stack[-1][0] >= after:
+                stack[-1][2] = stack[-1][2] or differ or word != stack[-1][1]
+            elif after:
+                stack.append([after, word, differ, []])
+    return np.array(starts, np.int64), np.array(lengths, np.int64)
 
 
 def repeats(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -155,11 +173,10 @@ def repeats(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     lcp = common_prefixes(order, ranks, end, left)
     edges = np.zeros(len(words) + 1, np.int64)
     owner = np.repeat(np.arange(len(texts)), counts)
-    for starts, length in maximal_repeats(order, lcp, words, end, left):
-        np.add.at(edges, starts, 1)
-        np.add.at(edges, starts + length, -1)
-        of = owner[starts[0]]
-        longest[of] = max(longest[of], length)
+    starts, lengths = maximal_repeats(order, lcp, words, end)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + lengths, -1)
+    np.maximum.at(longest, owner[starts], lengths)
     inside = np.cumsum(edges[:-1]) > 0
     covered += np.bincount(owner[inside], minlength=len(texts))
     return covered, longest

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 from freshhaul.llm.repetition import Limits, measures, repeats, repetition_rules
@@ -58,3 +59,10 @@ def test_odd_rows(odd, nothing):
     assert {(r.n_words, r.base_failed, r.kept) for r in rows if r.doc_id in (1, 2, 3)} == {(0, True, False)}
     assert all(r.kept for r in rows if r.doc_id in (6, 7))
     assert repetition_rules(nothing).count() == 0
+
+
+def test_equal_words_take_proportional_time():
+    start = time.perf_counter()
+    covered, longest = repeats([["a"] * 40_000, ["b", "a"] * 10_000])
+    assert time.perf_counter() - start < 5
+    assert (covered.tolist(), longest.tolist()) == ([40_000, 20_000], [39_999, 19_998])
