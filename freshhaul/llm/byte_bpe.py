@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding by replaying merges over a corpus.
 
-The corpus is what a task has at hand: the distinct words (matches of the pattern) of some
-megabytes of text, each held once. An index leads from each mergeable pair of tokens to
+The corpus is what a task has at hand: the distinct words (matches of the pattern) of about a
+megabyte of text, each held once, and ``REPLAY`` bytes of them at a time. An index leads from each mergeable pair of tokens to
 the positions where it stands. Pairs are merged in order of rank, a heap naming the lowest
 that is present; a merge touches its two neighbours only, whose new pairs enter the index.
 If one of them ranks lower than the pair being replayed, it goes first and the rest of the
@@ -11,12 +11,14 @@ Encoded words stay in a bounded cache for the next piece of the task.
 
 Ids are binary: little-endian unsigned 32-bit integers, one after the other. Null texts
 count as empty and give no ids. Special tokens do not exist: their strings are plain text.
-Words of any length are replayed whole; a text is never cut.
+Words of any length are replayed whole; a text is never cut. Repeated rows are encoded each.
+Columns that a frame has besides the text neither matter nor clash. No rows in, no rows out.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 
 from freshhaul.llm.common import text_of
 
-#: Characters of text whose words are replayed together; a longer text is a corpus by itself.
-CORPUS = 2_000_000
+#: Characters of text that are taken together; a longer text is taken by itself.
+CORPUS = 1_000_000
+#: Bytes of distinct words that are replayed together; a longer word is replayed by itself.
+REPLAY = 250_000
 #: Encoded words that a task keeps for its next texts.
 CACHE = 400_000
 
@@ -80,8 +84,9 @@ def encode_words(words: list[bytes], ranks: Ranks) -> list[bytes]:
 
     present = np.full(len(raw), -1, np.int64)
     present[at] = rank_of
-    symbol, right, left = first.tolist(), after.tolist(), before.tolist()
-    pair = present.tolist()  # rank of the pair that starts at a position, -1 if it has none
+    symbol, right, left = (array("i", x.astype(np.int32).tobytes()) for x in (first, after, before))
+    # Rank of the pair that starts at a position, -1 if it has none.
+    pair = array("i", present.astype(np.int32).tobytes())
     look = pairs.get
     heap = list(index)
     heapify(heap)
@@ -148,15 +153,16 @@ class Encoder:
             self.known = {}
             fresh = list(set().union(*split))
         if fresh:
-            coded = encode_words([w.encode() for w in fresh], self.ranks)
-            self.known.update(zip(fresh, coded, strict=True))
+            for part in corpora(fresh, REPLAY):
+                coded = encode_words([w.encode() for w in part], self.ranks)
+                self.known.update(zip(part, coded, strict=True))
         known = self.known.__getitem__
         for words in split:
             yield b"".join(map(known, words))
 
 
 def corpora(texts: list[str], size: int = CORPUS) -> Iterator[list[str]]:
-    """Consecutive texts of about ``size`` characters."""
+    """Consecutive texts, or words, of about ``size`` characters."""
     part, chars = [], 0
     for t in texts:
         if part and chars + len(t) > size:
@@ -178,9 +184,8 @@ class Codec:
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             encoder = Encoder(shared.value)
             for batch in batches:
-                yield pd.Series(
-                    [ids for part in corpora(batch.tolist()) for ids in encoder(part)], dtype=object
-                )
+                for part in corpora(batch.tolist()):
+                    yield pd.Series(list(encoder(part)), dtype=object)
 
         @F.pandas_udf("binary")
         def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -196,11 +201,25 @@ class Codec:
             encoder = Encoder(shared.value)
             token = shared.value.tokens.__getitem__
             for batch in batches:
-                ids = [x for part in corpora(batch.tolist()) for x in encoder(part)]
-                back = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in ids]
-                yield pd.DataFrame({"ids": ids, "decoded": back}, dtype=object)
+                for part in corpora(batch.tolist()):
+                    ids = list(encoder(part))
+                    back = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in ids]
+                    yield pd.DataFrame({"ids": ids, "decoded": back}, dtype=object)
 
-        self._encode, self._decode, self._both = encode, decode, both
+        @F.pandas_udf("ids binary, same boolean")
+        def checked(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            encoder = Encoder(shared.value)
+            token = shared.value.tokens.__getitem__
+            for batch in batches:
+                for part in corpora(batch.tolist()):
+                    ids = list(encoder(part))
+                    same = [
+                        b"".join(map(token, np.frombuffer(x, "<u4").tolist())) == t.encode()
+                        for x, t in zip(ids, part, strict=True)
+                    ]
+                    yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "same": same})
+
+        self._encode, self._decode, self._both, self._checked = encode, decode, both, checked
 
     def encode(self, text: str = "text") -> Column:
         """Packed ids of a text column."""
@@ -214,6 +233,10 @@ class Codec:
         """Struct of packed ids and the bytes that they decode to, in one pass of a task."""
         return self._both(text_of(text))
 
+    def checked(self, text: str = "text") -> Column:
+        """Struct of packed ids and whether they decode to the text."""
+        return self._checked(text_of(text))
+
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids, n_tokens and the bytes that the ids decode to."""
