@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshhaul.llm.byte_bpe import Codec
-from freshhaul.llm.common import settle, table, text_of
+from freshhaul.llm.common import settle, table
 from freshhaul.llm.exact_dedup import without_copies
 from freshhaul.llm.mixing import mixed
 from freshhaul.llm.ngram_join import Rule, one_of_each
@@ -48,14 +48,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and whether they decode to its text."""
     codec = Codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    coded = docs.withColumn("coded", codec.round_trip())
+    coded = docs.withColumn("coded", codec.checked())
     return coded.select(
         "doc_id",
         "lang",
         "source",
         (F.octet_length("coded.ids") / 4).cast("bigint").alias("n_tokens"),
         F.col("coded.ids").alias("ids"),
-        (F.col("coded.decoded") == text_of().cast("binary")).alias("round_trip"),
+        F.col("coded.same").alias("round_trip"),
     )
 
 
