@@ -34,8 +34,8 @@ def text_of(name: str = "text") -> Column:
 def with_row(docs: DataFrame, *columns: Column) -> DataFrame:
     """``columns`` and a key of the row, equal in each reading of the same files.
 
-    Rows of files are known by file and position. A frame that is not read from files
-    takes Spark's row numbers, which are equal as long as its plan is.
+    Rows of files are known by file and position. Rows of a shuffled frame have no name
+    that a second evaluation is sure to give them again: ``settle`` such a frame first.
     """
     try:
         return docs.select(
@@ -43,12 +43,8 @@ def with_row(docs: DataFrame, *columns: Column) -> DataFrame:
             F.col("_metadata.file_path").alias("row_file"),
             F.col("_metadata.row_index").alias("row_index"),
         )
-    except AnalysisException:
-        return docs.select(
-            *columns,
-            F.lit("").alias("row_file"),
-            F.monotonically_increasing_id().alias("row_index"),
-        )
+    except AnalysisException as error:
+        raise ValueError("rows are known by their place in files: settle this frame first") from error
 
 
 def keep_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
