@@ -295,6 +295,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     texts = with_row(docs, text_of().alias("text")).select(doc_key(), "text").join(wanted, "doc")
     of_family = (
         texts.mapInPandas(cut, "doc bigint, start bigint, bucket bigint, bytes binary")
+        .repartition(5 * shared, "bucket")  # of this number, so that small partitions are not joined
         .groupBy("bucket")
         .applyInPandas(search, "doc bigint, start bigint, stop bigint")
     )

@@ -35,10 +35,28 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 
     top = n - 1
     while top >= 0:
-        low = group[array[top]]
+        i = array[top]
+        low = group[i]
+        if low == top:  # a group of one, as most are in the end
+            j = i - 1
+            while j >= 0 and group[j] >= low:
+                j = previous[j]
+            previous[i] = j
+            top -= 1
+            if j >= 0:
+                g = group[j]
+                left = size[g] - 1
+                if left:
+                    size[g] = left
+                    high = g + left
+                    at, other = place[j], array[high]
+                    array[at], array[high] = other, j
+                    place[other], place[j] = at, high
+                    group[j] = high
+                    size[high] = 1
+            continue
         members = array[low : top + 1]
-        if len(members) > 1:
-            members.sort()
+        members.sort()
         times: dict[int, int] = {}
         for i in members:
             j = i - 1
@@ -68,18 +86,14 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     room = list(range(n))
     done = [False] * n
     out = [0] * n
-
-    def follow(j: int) -> None:
+    for at in range(-1, n):
+        j = out[at] - 1 if at >= 0 else n - 1
         while j >= 0 and not done[j]:
             g = free[j]
             out[room[g]] = j
             room[g] += 1
             done[j] = True
             j = previous[j]
-
-    follow(n - 1)
-    for at in range(n):
-        follow(out[at] - 1)
     return np.array(out, np.int64)
 
 
