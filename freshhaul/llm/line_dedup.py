@@ -349,7 +349,8 @@ def without_common_lines(
     """
     source = with_row(docs, F.col("doc_id"), text_of().alias("text"))
     found = settle(common_lines(keys, index, limit), "line-drops")
-    both = source.join(found, ROW, "left")
+    # Drops grow with the documents, so they are never broadcast.
+    both = source.join(found.hint("merge"), ROW, "left")
     breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     loses = F.col("dropped").isNotNull()
     return both.select(
