@@ -23,6 +23,7 @@ from freshhaul.operators import (
     merge,
     metrics,
     quality,
+    recent,
     rollup,
     sampling,
     serving,
@@ -31,7 +32,8 @@ from freshhaul.operators import (
 from freshhaul.plans import features as feature_plan
 from freshhaul.plans import readings as reading_plan
 from freshhaul.plans import report, sync
-from freshhaul.plans.serving import latest_alerts
+from freshhaul.plans.recovery import late_rows, read_processed, recover
+from freshhaul.plans.serving import latest_alerts, truck_views
 from freshhaul.plans.training import (
     CLASSIFIER,
     REGRESSOR,
@@ -1408,6 +1410,126 @@ def _(df: DataFrame) -> DataFrame:
     return alerts.alert_display(latest_alerts(_alert_table(df)))
 
 
+_LAST_TEN_SQL = """SELECT truck_id, string_agg(event_id, ',' ORDER BY event_time, event_id) AS ids, sum(storage_risk_score) AS risk
+FROM (SELECT *, row_number() OVER (PARTITION BY truck_id ORDER BY event_time DESC, event_id DESC) AS rn FROM {source})
+WHERE rn <= 10 GROUP BY truck_id HAVING count(*) = 10"""
+
+
+def _ten(df: DataFrame) -> DataFrame:
+    risk = F.aggregate("readings.storage_risk_score", F.lit(0.0), lambda a, b: a + b)
+    out = recent.full_rings(df).select(
+        "truck_id", F.array_join("readings.event_id", ",").alias("ids"), risk.alias("risk")
+    )
+    return rounded(out, "risk")
+
+
+@register_raw(
+    "jb7_recent_stream",
+    f"SELECT truck_id, ids, {rnd('risk', 6)} AS risk FROM ({_LAST_TEN_SQL.format(source='zone')})",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that the stream keeps of each truck's last readings."""
+    root = scratch_path(spark, "recent")
+    rows = reading_plan.process_messages(_stream_of(spark, sf_dir), watermark="3 days")
+    running = streams.start_recent(rows, f"{root}/table", f"{root}/ckpt", {"availableNow": True})
+    running.awaitTermination()
+    return _ten(tables.read_snapshot(spark, f"{root}/table", "recent_readings"))
+
+
+def _recent(df: DataFrame) -> DataFrame:
+    """The same table from two halves of the processed readings, the second overlapping the first."""
+    rows = fx.processed(df)
+    noon = moment(NOW - timedelta(hours=24), rows.schema["event_time"].dataType)
+    early = recent.recent_readings(rows.filter(F.col("event_time") < noon))
+    late = rows.filter(F.col("event_time") >= noon - F.expr("INTERVAL 1 HOUR"))
+    return enrich.settled(recent.merge_recent(early, late))
+
+
+@register(
+    "jb7_last_ten",
+    f"SELECT truck_id, ids, {rnd('risk', 6)} AS risk FROM ({_LAST_TEN_SQL.format(source='processed')})",
+)
+def _(df: DataFrame) -> DataFrame:
+    return _ten(truck_views(_recent(df))["last_ten"])
+
+
+_HOURS_SQL = f"SELECT truck_id, {rnd(_LEFT_SQL, 1)} AS hours FROM fleet"
+
+
+@register(
+    "jb7_shelf_life",
+    f"SELECT truck_id, hours, 'rule' AS source, {rnd('hours / 24::DOUBLE', 6)} AS days_left, CASE WHEN hours < 12 THEN 'critical'"
+    f" WHEN hours < 48 THEN 'low' ELSE 'ok' END AS urgency FROM ({_HOURS_SQL})",
+)
+def _(df: DataFrame) -> DataFrame:
+    return rounded(truck_views(_recent(df))["shelf_life"], "days_left")
+
+
+@register(
+    "jb7_what_if",
+    "SELECT truck_id, what_if_class, p_fresh, p_at_risk, p_spoiled FROM (SELECT event_id, truck_id FROM fleet) t"
+    f" JOIN ({ORACLES['ru10_what_if']}) w USING (event_id)",
+)
+def _(df: DataFrame) -> DataFrame:
+    view = truck_views(_recent(df))["what_if"]
+    return view.select("truck_id", "what_if_class", "p_fresh", "p_at_risk", "p_spoiled")
+
+
+@register(
+    "jb7_contributions",
+    "SELECT truck_id, factor, contribution, is_largest FROM (SELECT event_id, truck_id FROM fleet) t"
+    f" JOIN ({ORACLES['ru13_contributions']}) w USING (event_id)",
+)
+def _(df: DataFrame) -> DataFrame:
+    return truck_views(_recent(df))["contributions"]
+
+
+@register(
+    "jb7_severity_bands",
+    f"SELECT truck_id, {', '.join(_BANDS)} FROM (SELECT event_id, truck_id FROM fleet) t"
+    f" JOIN ({ORACLES['ru14_severity_bands']}) w USING (event_id)",
+)
+def _(df: DataFrame) -> DataFrame:
+    return truck_views(_recent(df))["severity_bands"].select("truck_id", *_BANDS)
+
+
+# The late delivery meets the watermark that the second one was read under: of the first.
+_NOON = "TIMESTAMP '2024-01-31 12:00:00'"
+_LATE = (
+    f"num % 10 = 3 AND event_time < {_NOON} AND event_time <= (SELECT max(event_time) FROM zone"
+    f" WHERE num % 10 <> 3 AND event_time < {_NOON}) - INTERVAL 5 MINUTE"
+)
+
+
+@register_raw(
+    "st9_late_rows",
+    "SELECT event_id, storage_risk_score, CASE WHEN late THEN 'recovered' ELSE 'kept' END AS state,"
+    f" count(*) FILTER (late) OVER () AS late FROM (SELECT *, {_LATE} AS late FROM zone)",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: the first day's half, the rest, and a tenth of the first half too late."""
+    root = scratch_path(spark, "late")
+    df = fx.dirty(fx.readings(spark, sf_dir))
+    noon = moment(NOW - timedelta(hours=24), "timestamp_ntz")
+    first, held = F.col("event_time") < noon, fx.number() % 10 == 3
+    for rows in (df.filter(first & ~held), df.filter(~first), df.filter(first & held)):
+        fx.envelopes(rows).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = kafka.read_envelope_files(spark, f"{root}/in", max_files=1)
+    paths = {name: f"{root}/{name}" for name in ("raw", "processed", "alerts", "checkpoints")}
+    started = streams.stream_pipeline(source, paths, watermark="5 minutes", trigger={"availableNow": True})
+    for running in started.values():
+        running.awaitTermination()
+    late = late_rows(started["processed"])
+    kept = file_sources.read_zone(spark, paths["processed"], PROCESSED).select("event_id")
+    recover(spark, paths["raw"], paths["processed"], f"{root}/late")
+    zone = read_processed(spark, paths["processed"], f"{root}/late")
+    was = F.when(F.col("_kept"), "kept").otherwise("recovered")
+    return (
+        zone.join(kept.withColumn("_kept", F.lit(True)), "event_id", "left")
+        .select("event_id", "storage_risk_score", was.alias("state"), F.lit(late).cast("long").alias("late"))
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings to hourly features to the risk of each food."""
     return rollup.food_risk(fx.features(fx.readings(spark, sf_dir)))

@@ -57,46 +57,83 @@ def null_totals(groups: DataFrame) -> DataFrame:
     )
 
 
-def exact_median(df: DataFrame, key: str, value: str, accuracy: int = 10_000) -> DataFrame:
-    """Exact median of ``value`` per ``key``, for keys of any size.
+def _exponent(value: Column) -> Column:
+    """Sign and binary exponent as one number, which rises with the value; NaN comes last."""
+    size = F.floor(F.log2(F.abs(value))) + F.lit(1100)
+    return (
+        F.when(F.isnan(value), F.lit(4000))
+        .when(value == 0, F.lit(0))
+        .otherwise(F.least(F.lit(3000), F.greatest(F.lit(1), size)) * F.signum(value))
+        .cast("int")
+    )
+
+
+def _bin_of_rank(bins: DataFrame, key: str) -> DataFrame:
+    """The bin of each key in which its rank lies; a key has a bounded number of bins."""
+    order = Window.partitionBy(key).orderBy("_bin")
+    upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        bins.withColumn("_upto", F.col("_below") + upto)
+        .filter((F.col("_upto") - F.col("_n") < F.col("_rank")) & (F.col("_rank") <= F.col("_upto")))
+        .select(key, "_total", "_rank", (F.col("_upto") - F.col("_n")).alias("_below"), "_n", "_low", "_high")
+    )
+
 
-    A percentile sketch (bounded memory, map-side combine) brackets the median
-    of each key within a few ranks in ``accuracy``. The second pass counts the
-    rows below the bracket and the distinct values inside it, so only those few
-    values are ordered. A bracket that misses the median raises an error.
+def exact_median(df: DataFrame, key: str, value: str, bound: int = 100_000) -> DataFrame:
+    """Exact median of ``value`` per ``key``, for keys of any size and any spread of values.
+
+    Radix selection: a first pass counts rows by sign and exponent, further ones by 4,096
+    equal parts of what is left, all with map-side combine, until no more than ``bound``
+    rows (or one value) can hold the middle rank of a key. Four passes settle a double's
+    52 bits. Only those few are ordered, and one pass finds the value above them where an
+    even number of rows needs it. Nulls are left out; NaN is above every number.
     """
-    margin = 2.0 / accuracy
-    rows = df.filter(F.col(value).isNotNull()).select(key, value)
-    bracket = rows.groupBy(key).agg(
-        F.percentile_approx(value, [0.5 - margin, 0.5 + margin], accuracy).alias("_b"),
-        F.count(F.lit(1)).alias("_total"),
+    rows = settled(df.filter(F.col(value).isNotNull()).select(key, F.col(value).alias("_v")))
+    within = [
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+    ]
+    bins = rows.groupBy(key, _exponent(F.col("_v")).alias("_bin")).agg(*within)
+    totals = F.sum("_n").over(Window.partitionBy(key))
+    state = settled(
+        _bin_of_rank(
+            bins.withColumn("_total", totals)
+            .withColumn("_rank", F.expr("(_total + 1) div 2"))
+            .withColumn("_below", F.lit(0).cast("long")),
+            key,
+        )
     )
-    bracket = bracket.select(
-        key, F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"), "_total"
+    wide = (F.col("_n") > bound) & (F.col("_low") < F.col("_high"))
+    while state.filter(wide).limit(1).count():
+        part = F.least(
+            F.lit(4095), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * 4096)
+        )
+        inside = F.col("_v").between(F.col("_low"), F.col("_high"))
+        narrowed = (
+            rows.join(state.filter(wide).drop("_n"), key)
+            .filter(inside)
+            .groupBy(key, "_total", "_rank", "_below", part.alias("_bin"))
+            .agg(*within)
+        )
+        state = settled(state.filter(~wide).unionByName(_bin_of_rank(narrowed, key)))
+
+    counted = (
+        rows.join(state.drop("_n"), key)
+        .filter(F.col("_v") >= F.col("_low"))
+        .groupBy(key, "_total", "_rank", "_below", F.when(F.col("_v") <= F.col("_high"), F.col("_v")).alias("_x"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"))
+    )
+    order = Window.partitionBy(key).orderBy(F.col("_x").asc_nulls_last())
+    placed = counted.withColumn(
+        "_upto", F.col("_below") + F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
-    near = rows.join(settled(bracket), key).filter(F.col(value) <= F.col("_high"))
-    counted = near.groupBy(
-        key, "_total", F.when(F.col(value) >= F.col("_low"), F.col(value)).alias("_v")
-    ).agg(F.count(F.lit(1)).alias("_n"))
-
-    order = Window.partitionBy(key).orderBy(F.col("_v").asc_nulls_first())
-    upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumn("_upto", upto)
-    middle = [F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")]
     picks = [
-        F.max(F.when((F.col("_upto") - F.col("_n") < rank) & (rank <= F.col("_upto")), F.col("_v")))
-        for rank in middle
+        F.max(F.when((F.col("_upto") - F.col("_n") < rank) & (rank <= F.col("_upto")), F.col("_least")))
+        for rank in (F.col("_rank"), F.expr("_total div 2 + 1"))
     ]
-    picked = placed.groupBy(key).agg(
-        picks[0].alias("_a"), picks[1].alias("_z"), F.max("_total").alias("n")
-    )
-    found = F.col("_a").isNotNull() & F.col("_z").isNotNull()
-    return picked.select(
-        key,
-        F.when(found, F.col("_a") * 0.5 + F.col("_z") * 0.5)
-        .otherwise(F.raise_error(F.lit("median outside its bracket")).cast("double"))
-        .alias("median"),
-        "n",
+    return (
+        placed.groupBy(key)
+        .agg(picks[0].alias("_a"), picks[1].alias("_z"), F.max("_total").alias("n"))
+        .select(key, (F.col("_a") * 0.5 + F.col("_z") * 0.5).alias("median"), "n")
     )
 
 

@@ -112,6 +112,13 @@ FLEET_COLUMNS = [
 FLEET_STATUS = T.StructType(
     [PROCESSED[name] for name in FLEET_COLUMNS] + [T.StructField("updated_at", _TS, True)]
 )
+READING_COLUMNS = ["event_time", "event_id", "food_name", *SENSORS, *CORE_FEATURES]
+RECENT_READINGS = T.StructType(
+    [
+        T.StructField("truck_id", _S, True),
+        T.StructField("readings", T.ArrayType(T.StructType([PROCESSED[n] for n in READING_COLUMNS])), True),
+    ]
+)
 HISTORY_COLUMNS = [
     "event_id", "truck_id", "event_time", "temperature", "humidity", "methane", "co2",
 ]
@@ -126,6 +133,7 @@ TABLE_KEYS = {
     "fleet_status": (FLEET_STATUS, "truck_id"),
     "sensor_history": (SENSOR_HISTORY, "event_id"),
     "registry": (REGISTRY, None),
+    "recent_readings": (RECENT_READINGS, "truck_id"),
 }
 
 

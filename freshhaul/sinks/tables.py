@@ -15,7 +15,7 @@ from freshhaul.schemas import MODEL_METRICS, PIPELINE_RUNS, TABLE_KEYS, conform
 from freshhaul.sources.files import read_zone_or_none
 
 DAY_PARTS = ["year", "month", "day"]
-SNAPSHOT_TABLES = {"fleet_status", "registry"}
+SNAPSHOT_TABLES = {"fleet_status", "registry", "recent_readings"}
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[int]:

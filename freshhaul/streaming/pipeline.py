@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from freshhaul.operators.alerts import alerts
+from freshhaul.operators.recent import merge_recent
 from freshhaul.plans.readings import process_messages
 from freshhaul.reference import TRIGGER, WATERMARK
 from freshhaul.schemas import PROCESSED
+from freshhaul.sinks.tables import read_snapshot, write_snapshot
 from freshhaul.sources.kafka import raw_rows
 
 DAYS = ["year", "month", "day"]
@@ -48,6 +50,24 @@ def start_alerts(df: DataFrame, path: str, ckpt: str, trigger: dict = EVERY) ->
     return start_sink(alerts(df), "alerts", path, ckpt, DAYS, trigger)
 
 
+def start_recent(df: DataFrame, path: str, ckpt: str, trigger: dict = EVERY) -> StreamingQuery:
+    """Keep the table of each truck's last readings; a batch that is run again is harmless."""
+    spark = df.sparkSession
+
+    def merge(batch: DataFrame, _: int) -> None:
+        stored = read_snapshot(spark, path, "recent_readings")
+        write_snapshot(merge_recent(stored, batch), path)
+
+    return (
+        df.writeStream.queryName("recent")
+        .foreachBatch(merge)
+        .option("checkpointLocation", ckpt)
+        .outputMode("append")
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_console(df: DataFrame, rows: int = 5, trigger: dict = EVERY) -> StreamingQuery:
     return (
         df.select(*CONSOLE_COLUMNS)
@@ -75,7 +95,8 @@ def stream_pipeline(
     console: bool = False,
     chain_alerts: bool = True,
 ) -> dict[str, StreamingQuery]:
-    """Start the zone writers. ``paths``: raw, processed, alerts, checkpoints.
+    """Start the zone writers. ``paths``: raw, processed, alerts, checkpoints; with recent,
+    also the table of each truck's last readings, which follows what alerts follow.
 
     The alert query follows the processed zone: no second parse, score and dedupe
     state, one trigger later. Without ``chain_alerts`` it reads the source by itself. ``spark.sql.shuffle.partitions`` is fixed for the life of a
@@ -93,6 +114,8 @@ def stream_pipeline(
             queries["processed"].awaitTermination()
         follow = processed_stream(source.sparkSession, paths["processed"])
     queries["alerts"] = start_alerts(follow, paths["alerts"], f"{marks}/alerts", trigger)
+    if "recent" in paths:
+        queries["recent"] = start_recent(follow, paths["recent"], f"{marks}/recent", trigger)
     if console:
         queries["console"] = start_console(rows, trigger=trigger)
     return queries

@@ -11,15 +11,24 @@ from datetime import datetime
 from freshhaul.models.classifier import score
 from freshhaul.plans.features import feature_build
 from freshhaul.plans.readings import reprocess
+from freshhaul.plans.recovery import recover
 from freshhaul.plans.report import daily_report
+from freshhaul.plans.serving import serving_views, write_views
 from freshhaul.plans.sync import sync_alerts, sync_fleet
-from freshhaul.plans.training import gate_registry, production_classifier, train_and_gate
+from freshhaul.plans.training import (
+    gate_registry,
+    production_classifier,
+    production_shelf_life,
+    train_and_gate,
+)
 from freshhaul.reference import (
     ALERT_LOOKBACK_HOURS,
     FLEET_LOOKBACK_HOURS,
+    HISTORY_RETAIN_HOURS,
     TRIGGER,
 )
 from freshhaul.session import build_session
+from freshhaul.sinks.tables import read_history, read_log, read_snapshot
 from freshhaul.sources.files import read_readings_csv, read_zone
 from freshhaul.sources.kafka import read_kafka
 from freshhaul.streaming.pipeline import await_any, stream_pipeline
@@ -42,6 +51,7 @@ def arguments() -> argparse.Namespace:
     stream.add_argument(
         "--own-alerts", action="store_true", help="derive alerts from messages, not from the zone"
     )
+    stream.add_argument("--recent", help="table of the last readings of each truck to keep")
     stream.add_argument("--console", action="store_true")
 
     features = jobs.add_parser("features", help="hourly feature table and reports")
@@ -75,6 +85,15 @@ def arguments() -> argparse.Namespace:
     for name in ("--processed", "--models", "--out"):
         scoring.add_argument(name, required=True)
 
+    views = jobs.add_parser("views", help="the dashboard's tables, one folder each")
+    for name in ("--fleet", "--history", "--alerts", "--metrics", "--recent", "--truck", "--out"):
+        views.add_argument(name, required=True)
+    views.add_argument("--models", help="training output whose shelf-life model is in production")
+
+    late = jobs.add_parser("recover", help="processed rows that came too late for the stream")
+    for name in ("--raw", "--processed", "--late"):
+        late.add_argument(name, required=True)
+
     gate = jobs.add_parser("gate", help="run the promotion gate over the stored registry")
     gate.add_argument("--models", required=True)
 
@@ -99,7 +118,8 @@ def main() -> None:
             fail_on_data_loss=not args.skip_lost,
         )
         model = production_classifier(spark, args.model) if args.model else None
-        paths = {n: getattr(args, n) for n in ("raw", "processed", "alerts", "checkpoints")}
+        names = ("raw", "processed", "alerts", "checkpoints", "recent")
+        paths = {n: getattr(args, n) for n in names if getattr(args, n)}
         await_any(
             spark,
             stream_pipeline(
@@ -129,6 +149,22 @@ def main() -> None:
             raise SystemExit("no classifier is in production")
         score(read_zone(spark, args.processed), model).write.mode("overwrite").parquet(args.out)
         result = {"scored": args.out}
+    elif args.job == "views":
+        result = write_views(
+            serving_views(
+                read_snapshot(spark, args.fleet, "fleet_status"),
+                read_history(spark, args.history, now, HISTORY_RETAIN_HOURS),
+                read_log(spark, args.alerts, "alerts"),
+                read_log(spark, args.metrics, "model_metrics"),
+                now,
+                args.truck,
+                recent=read_snapshot(spark, args.recent, "recent_readings"),
+                fitted=production_shelf_life(spark, args.models) if args.models else None,
+            ),
+            args.out,
+        )
+    elif args.job == "recover":
+        result = {"recovered": recover(spark, args.raw, args.processed, args.late)}
     elif args.job == "gate":
         result = gate_registry(spark, f"{args.models}/registry")
     elif args.job == "reprocess":
