@@ -31,5 +31,5 @@ def test_no_documents(spark, tmp_path, odd):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
