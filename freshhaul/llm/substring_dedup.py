@@ -234,6 +234,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     )
     total = segments.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()[0]
     shared = max(1, 2 * total // block)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shared // 4)
     columns = ["doc", "start", "stop", "bucket", "first", "last"]
     none = F.lit(-1).cast("bigint")  # not null: null numbers inside arrays reach Python as floats
     families = weighed.filter(F.col("weight") <= block).select(
@@ -295,7 +296,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     texts = with_row(docs, text_of().alias("text")).select(doc_key(), "text").join(wanted, "doc")
     of_family = (
         texts.mapInPandas(cut, "doc bigint, start bigint, bucket bigint, bytes binary")
-        .repartition(5 * shared, "bucket")  # of this number, so that small partitions are not joined
+        .repartition(tasks, "bucket")  # a number, so that small partitions are not joined
         .groupBy("bucket")
         .applyInPandas(search, "doc bigint, start bigint, stop bigint")
     )
