@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ from freshhaul.sinks import files as file_sinks
 from freshhaul.sinks import tables
 from freshhaul.sources import files as file_sources
 from freshhaul.sources import kafka
+from freshhaul.streaming import one_read
 from freshhaul.streaming import pipeline as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1530,6 +1532,59 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _two_deliveries(spark: SparkSession, sf_dir: str, root: str) -> tuple[DataFrame, dict[str, str]]:
+    """Messages in two files; the second repeats a part of the first and itself."""
+    df = fx.dirty(fx.readings(spark, sf_dir))
+    again = (fx.number() % 3 == 0) | (fx.number() % 7 == 0)
+    for rows in (df.filter(fx.number() % 3 != 0), fx.deliveries(df.filter(again))):
+        fx.envelopes(rows).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    paths = {name: f"{root}/{name}" for name in ("raw", "processed", "alerts", "checkpoints")}
+    return kafka.read_envelope_files(spark, f"{root}/in", max_files=1), paths
+
+
+_DELIVERED = "CASE WHEN num % 3 <> 0 THEN 0 ELSE 1 END::BIGINT AS batch"
+
+
+@register_raw("st6_one_read", f"SELECT {', '.join(_ZONE)}, {_DELIVERED} FROM zone")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All zones by one query over the source; ids are told apart across micro-batches."""
+    source, paths = _two_deliveries(spark, sf_dir, scratch_path(spark, "one-read"))
+    one_read.start_zones(source, paths, "3 days", {"availableNow": True}).awaitTermination()
+    zone = one_read.read_batches(spark, paths["processed"], PROCESSED)
+    return ntz(zone, "event_time").select(*_ZONE, "batch")
+
+
+@register_raw(
+    "st5_restart",
+    f"SELECT event_id, event_time, risk_level, 'processed' AS zone, {_DELIVERED} FROM zone"
+    f" UNION ALL SELECT event_id, event_time, risk_level, 'alerts', {_DELIVERED} FROM zone"
+    " WHERE prob_spoiled >= 0.70 OR ml_predicted_class = 2 OR temp_breach_flag = 1",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops with each batch written and not committed, and is started again."""
+    source, paths = _two_deliveries(spark, sf_dir, scratch_path(spark, "restart"))
+    stopped: set[int] = set()
+
+    def stop_once(number: int) -> None:
+        if number not in stopped:
+            stopped.add(number)
+            raise InterruptedError(f"batch {number} is written, not committed")
+
+    for _attempt in range(3):  # each of the two batches stops its first attempt
+        running = one_read.start_zones(source, paths, "3 days", {"availableNow": True}, written=stop_once)
+        try:
+            running.awaitTermination()
+        except StreamingQueryException as error:
+            if "not committed" not in str(error):
+                raise
+    columns = ["event_id", "event_time", "risk_level"]
+    zones = [
+        one_read.read_batches(spark, paths[name], PROCESSED).select(*columns, F.lit(name).alias("zone"), "batch")
+        for name in ("processed", "alerts")
+    ]
+    return ntz(zones[0].union(zones[1]), "event_time")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings to hourly features to the risk of each food."""
     return rollup.food_risk(fx.features(fx.readings(spark, sf_dir)))
