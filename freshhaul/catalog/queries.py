@@ -627,6 +627,16 @@ def _(df: DataFrame) -> DataFrame:
     return merge.prune(df, NOW, 18).select("event_id", "event_time")
 
 
+@register("snk10_rows_on_disk", f"SELECT * FROM ({ORACLES['snk10_prune']})")
+def _(df: DataFrame) -> DataFrame:
+    """What is left of a history by day: whole days go, the day of the bound is rewritten."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "history")
+    tables.append_rows(df.select("event_id", "event_time"), path, "event_time")
+    tables.drop_expired_days(spark, path, NOW, 18)
+    tables.drop_expired_rows(spark, path, NOW, 18)
+    return file_sources.read_zone(spark, path).select("event_id", "event_time")
+
+
 # --- roll-up and reports -------------------------------------------------------------------
 
 _AVERAGES = ["temp_avg", "temp_std", "humidity_avg", "methane_avg", "co2_avg"]

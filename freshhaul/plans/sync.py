@@ -19,7 +19,13 @@ from freshhaul.reference import (
 )
 from freshhaul.schemas import FLEET_COLUMNS, HISTORY_COLUMNS
 from freshhaul.session import scratch_of_job
-from freshhaul.sinks.tables import append_rows, drop_expired_days, read_log, upsert_table
+from freshhaul.sinks.tables import (
+    append_rows,
+    drop_expired_days,
+    drop_expired_rows,
+    read_log,
+    upsert_table,
+)
 from freshhaul.sources.files import read_zone_or_none
 
 
@@ -82,8 +88,13 @@ def sync_fleet(
     now: datetime,
     hours: float = FLEET_LOOKBACK_HOURS,
     retain_hours: float = HISTORY_RETAIN_HOURS,
+    rewrite_cutoff: bool = False,
 ) -> dict:
-    """Upsert the fleet table, append new history rows, drop expired days."""
+    """Upsert the fleet table, append new history rows, drop expired days.
+
+    Readers never see expired rows of the day that the retention bound cuts through;
+    ``rewrite_cutoff`` also takes them off the disk, at the cost of rewriting that day.
+    """
     zone = read_zone_or_none(spark, processed_path)
     if zone is None:
         return {"history_rows": 0, "removed": []}
@@ -100,6 +111,8 @@ def sync_fleet(
             inserted = _append_counted(fresh, history_path, "event_time")
     finally:
         recent.unpersist()
+    if rewrite_cutoff:
+        drop_expired_rows(spark, history_path, now, retain_hours)
     return {
         "history_rows": inserted,
         "removed": drop_expired_days(spark, history_path, now, retain_hours),

@@ -119,6 +119,30 @@ def drop_expired_days(spark: SparkSession, path: str, now: datetime, hours: floa
     return removed
 
 
+def drop_expired_rows(spark: SparkSession, path: str, now: datetime, hours: float) -> bool:
+    """Rewrite the one day that the retention bound cuts through; whether there was anything to drop.
+
+    Only that day's partition is read and replaced, by dynamic partition overwrite: readers
+    see its old files until the new ones are committed. Days before it are left to
+    ``drop_expired_days``.
+    """
+    since = (now - timedelta(hours=hours)).date()
+    day = f"{path}/year={since.year}/month={since.month}/day={since.day}"
+    if not storage.exists(spark, day):
+        return False
+    rows = spark.read.option("basePath", path).parquet(day)
+    kept = prune(rows, now, hours)
+    cutoff = moment(now - timedelta(hours=hours), rows.schema["event_time"].dataType)
+    if rows.filter(F.col("event_time") < cutoff).isEmpty():
+        return False
+    if kept.isEmpty():
+        storage.remove(spark, day)
+    else:
+        replace = kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        replace.partitionBy(*DAY_PARTS).parquet(path)
+    return True
+
+
 def run_log(
     spark: SparkSession,
     dag_id: str,

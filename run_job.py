@@ -31,6 +31,7 @@ from freshhaul.session import build_session
 from freshhaul.sinks.tables import read_history, read_log, read_snapshot
 from freshhaul.sources.files import read_readings_csv, read_zone
 from freshhaul.sources.kafka import read_kafka
+from freshhaul.streaming.one_read import start_zones
 from freshhaul.streaming.pipeline import await_any, stream_pipeline
 
 
@@ -53,6 +54,9 @@ def arguments() -> argparse.Namespace:
     )
     stream.add_argument("--recent", help="table of the last readings of each truck to keep")
     stream.add_argument("--console", action="store_true")
+    stream.add_argument(
+        "--one-read", action="store_true", help="one query writes all zones, a folder for each batch"
+    )
 
     features = jobs.add_parser("features", help="hourly feature table and reports")
     for name in ("--processed", "--features", "--reports"):
@@ -70,6 +74,9 @@ def arguments() -> argparse.Namespace:
     for name in ("--processed", "--fleet", "--history"):
         fleet.add_argument(name, required=True)
     fleet.add_argument("--hours", type=float, default=FLEET_LOOKBACK_HOURS)
+    fleet.add_argument(
+        "--rewrite-cutoff", action="store_true", help="rewrite the day that the retention bound cuts"
+    )
 
     report = jobs.add_parser("report", help="daily summary of the feature table")
     for name in ("--features", "--runs"):
@@ -120,6 +127,12 @@ def main() -> None:
         model = production_classifier(spark, args.model) if args.model else None
         names = ("raw", "processed", "alerts", "checkpoints", "recent")
         paths = {n: getattr(args, n) for n in names if getattr(args, n)}
+        if args.one_read:
+            if args.recent or args.console or args.own_alerts:
+                raise SystemExit("--one-read goes without --recent, --console and --own-alerts")
+            zones = start_zones(source, paths, trigger={"processingTime": args.every}, model=model)
+            await_any(spark, {"zones": zones})
+            return
         await_any(
             spark,
             stream_pipeline(
@@ -140,7 +153,10 @@ def main() -> None:
     elif args.job == "alerts":
         result = {"inserted": sync_alerts(spark, args.alerts, args.table, now, args.hours)}
     elif args.job == "fleet":
-        result = sync_fleet(spark, args.processed, args.fleet, args.history, now, args.hours)
+        result = sync_fleet(
+            spark, args.processed, args.fleet, args.history, now, args.hours,
+            rewrite_cutoff=args.rewrite_cutoff,
+        )
     elif args.job == "report":
         result = daily_report(spark, args.features, args.runs, now)
     elif args.job == "score":

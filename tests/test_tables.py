@@ -120,6 +120,14 @@ def test_history_retention(spark, tmp_path):
     assert seen == {"e2923", "e301", "e3023", "e311", "e3123"}
     assert tables.drop_expired_days(spark, path, now, 48) == ["year=2024/month=1/day=27"]
     assert {r["event_id"] for r in tables.read_history(spark, path, now, 48).collect()} == seen
+    # On disk the day of the bound still has its first hours, until it is rewritten.
+    assert spark.read.parquet(path).count() == 6
+    assert tables.drop_expired_rows(spark, path, now, 48)
+    assert not tables.drop_expired_rows(spark, path, now, 48)
+    assert {r["event_id"] for r in spark.read.parquet(path).collect()} == seen
+    assert tables.drop_expired_rows(spark, path, datetime(2024, 1, 31, 23, 30), 48)
+    assert not os.path.exists(f"{path}/year=2024/month=1/day=29")
+    assert not tables.drop_expired_rows(spark, path, datetime(2025, 1, 1), 48)
 
 
 def test_prune_bound_is_strict(spark):
