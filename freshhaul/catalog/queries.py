@@ -14,7 +14,7 @@ from freshhaul.catalog.fixtures import NOW
 from freshhaul.catalog.oracle import NOW as SQL_NOW
 from freshhaul.catalog.oracle import query, rnd
 from freshhaul.functions.times import moment
-from freshhaul.models import classifier, shelf_life
+from freshhaul.models import classifier, explain, shelf_life
 from freshhaul.operators import (
     alerts,
     cleaning,
@@ -1148,6 +1148,32 @@ def _(df: DataFrame) -> DataFrame:
     return both.select("feature", (place <= len(FOOD_NAMES)).alias("carries_label"))
 
 
+@register(
+    "ml4_row_explanations",
+    f"SELECT event_id, {_BY_FOOD_SQL} AS explained_class, ['p_fresh', 'p_at_risk', 'p_spoiled'][{_BY_FOOD_SQL} + 1] AS explained_by,"
+    f" 0.0::DOUBLE AS gap, {len(classifier.INPUTS)}::BIGINT AS inputs FROM rated_batch",
+)
+def _(df: DataFrame) -> DataFrame:
+    """The class that the parts of all inputs add up to, and how far their sum is from the score."""
+    rows = _by_food(df)
+    model = classifier.train_classifier(rows, numTrees=60)
+    spread = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)  # a row takes milliseconds
+    sums = explain.explain(spread, model).groupBy("event_id").agg(
+        *[F.sum(name).alias(f"sum_{name}") for name in explain.CLASSES],
+        F.count(F.when(F.col("feature") != explain.BASE, 1)).alias("inputs"),
+    )
+    added = [F.col(f"sum_{name}") for name in explain.CLASSES]
+    place = F.array_position(F.array(*added), F.greatest(*added)).cast("int")
+    off = F.greatest(*[F.abs(a - F.col(name)) for a, name in zip(added, explain.CLASSES)])
+    return classifier.score(rows, model).join(sums, "event_id").select(
+        "event_id",
+        (place - 1).alias("explained_class"),
+        F.get(F.array(*[F.lit(name) for name in explain.CLASSES]), place - 1).alias("explained_by"),
+        F.round(off, 3).alias("gap"),
+        "inputs",
+    )
+
+
 @register_raw(
     "ml5_promotion_gate",
     f"""SELECT r.model, r.version, r.stage, decision,

@@ -9,6 +9,7 @@ import argparse
 from datetime import datetime
 
 from freshhaul.models.classifier import score
+from freshhaul.models.explain import explain
 from freshhaul.plans.features import feature_build
 from freshhaul.plans.readings import reprocess
 from freshhaul.plans.recovery import recover
@@ -91,6 +92,7 @@ def arguments() -> argparse.Namespace:
     scoring = jobs.add_parser("score", help="classify the readings of a zone with the production model")
     for name in ("--processed", "--models", "--out"):
         scoring.add_argument(name, required=True)
+    scoring.add_argument("--explain", help="folder for what each input adds to each score")
 
     views = jobs.add_parser("views", help="the dashboard's tables, one folder each")
     for name in ("--fleet", "--history", "--alerts", "--metrics", "--recent", "--truck", "--out"):
@@ -163,8 +165,12 @@ def main() -> None:
         model = production_classifier(spark, args.models)
         if model is None:
             raise SystemExit("no classifier is in production")
-        score(read_zone(spark, args.processed), model).write.mode("overwrite").parquet(args.out)
+        zone = read_zone(spark, args.processed)
+        score(zone, model).write.mode("overwrite").parquet(args.out)
         result = {"scored": args.out}
+        if args.explain:
+            explain(zone, model).write.mode("overwrite").parquet(args.explain)
+            result["explained"] = args.explain
     elif args.job == "views":
         result = write_views(
             serving_views(

@@ -211,6 +211,10 @@ def test_jdbc_requests():
     assert session.calls[0]["table"] == (
         "(SELECT DISTINCT event_id FROM alerts WHERE event_id IS NOT NULL) ids"
     )
+    asked = session.calls[0]["predicates"]
+    assert len(set(asked)) == 16 and asked[3].endswith("16) = 3") and "event_id" in asked[3]
+    assert jdbc_sources.read_known_ids(session, "jdbc:x", "alerts", {}, "truck_id", 2) == "frame"
+    assert [p.rsplit(", ", 1)[1] for p in session.calls[1]["predicates"]] == ["2) = 0", "2) = 1"]
     frame = _Recorder()
     jdbc_sinks.append_jdbc(frame, "jdbc:x", "t", {})
     jdbc_sinks.stage_jdbc(frame, "jdbc:x", "t", {})
