@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshhaul.operators.metrics import apply_scaler
+from freshhaul.operators.sampling import holdout_keys
 from freshhaul.operators.windows import last_n, latest_by, sequences
 from freshhaul.reference import SEQUENCE_LENGTH
 from freshhaul.schemas import CORE_FEATURES
 
 STEP_INPUTS = ["temperature", "humidity", "methane", "co2", *CORE_FEATURES]
 TARGET = "remaining_hours"
+STOPPING = {"maxIter": 60, "validationTol": 0.01}  # trees at most, and the least gain of a tree
 
 
 def training_sequences(df: DataFrame, n: int = SEQUENCE_LENGTH) -> DataFrame:
@@ -26,9 +28,22 @@ def with_vector(df: DataFrame, column: str = "sequence") -> DataFrame:
     return df.withColumn("features", array_to_vector(F.flatten(steps)))
 
 
-def train_shelf_life(df: DataFrame, n: int = SEQUENCE_LENGTH, **params: object) -> GBTRegressionModel:
-    """Boosted trees on standardised readings; the last truck rows give no target."""
-    rows = with_vector(training_sequences(df, n)).select("features", TARGET)
+def train_shelf_life(
+    df: DataFrame, n: int = SEQUENCE_LENGTH, stop_trucks: int = 0, **params: object
+) -> GBTRegressionModel:
+    """Boosted trees on standardised readings; the last truck rows give no target.
+
+    With ``stop_trucks`` the last trucks in sorted order are kept out of the fit: boosting
+    stops where their error no longer falls by ``validationTol``, and the trees up to the
+    least error stay. Where no other truck is left to fit on, it does not stop early.
+    """
+    rows = with_vector(training_sequences(df, n)).select("truck_id", "features", TARGET)
+    if stop_trucks:
+        fitted, held = holdout_keys(rows, "truck_id", stop_trucks)
+        if not fitted.isEmpty():
+            marked = fitted.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
+            stopping = {"validationIndicatorCol": "held", **STOPPING}
+            return GBTRegressor(labelCol=TARGET, **{"seed": 42, **stopping, **params}).fit(marked)
     return GBTRegressor(labelCol=TARGET, **{"seed": 42, **params}).fit(rows)
 
 

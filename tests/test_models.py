@@ -54,6 +54,25 @@ def test_importance(spark, rated, model):
     assert max(swapped, key=swapped.get) in ("storage_risk_score", "temp_deviation", "temperature")
 
 
+def test_boosting_stops_on_held_out_trucks(rated):
+    trucks = [r[0] for r in rated.select("truck_id").distinct().orderBy("truck_id").collect()]
+    held = F.col("truck_id").isin(trucks[-3:])
+    # What holds for the other trucks does not hold for these, so more trees don't help them.
+    odd = rated.withColumn(shelf_life.TARGET, F.when(held, 50.0).otherwise(F.col(shelf_life.TARGET)))
+    small = {"maxDepth": 3, "maxIter": 12}
+    stopped = shelf_life.train_shelf_life(odd, stop_trucks=3, **small)
+    assert 1 <= stopped.getNumTrees < 12
+    assert shelf_life.train_shelf_life(odd, **small).getNumTrees == 12
+
+    # The held-out trucks give no tree: any target of theirs leaves the first tree as it is.
+    other = odd.withColumn(shelf_life.TARGET, F.when(held, 51.0).otherwise(F.col(shelf_life.TARGET)))
+    again = shelf_life.train_shelf_life(other, stop_trucks=3, **small)
+    assert again.trees[0].toDebugString.split("\n")[1:] == stopped.trees[0].toDebugString.split("\n")[1:]
+
+    one = rated.filter(F.col("truck_id") == trucks[0])
+    assert shelf_life.train_shelf_life(one, stop_trucks=3, **small).getNumTrees == 12
+
+
 def test_shelf_life_model_beats_the_mean(rated):
     model = shelf_life.train_shelf_life(rated, maxIter=5, maxDepth=4)
     guesses = shelf_life.predict_sequences(shelf_life.training_sequences(rated), model).persist()
