@@ -15,7 +15,7 @@ from freshhaul.schemas import CORE_FEATURES
 
 STEP_INPUTS = ["temperature", "humidity", "methane", "co2", *CORE_FEATURES]
 TARGET = "remaining_hours"
-STOPPING = {"maxIter": 60, "validationTol": 0.01}  # trees at most, and the least gain of a tree
+STOPPING = {"maxIter": 20, "validationTol": 0.01}  # trees at most, and the least gain of a tree
 
 
 def training_sequences(df: DataFrame, n: int = SEQUENCE_LENGTH) -> DataFrame:
