@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from freshhaul.catalog import fixtures as fx
 from freshhaul.models import classifier, shelf_life
-from freshhaul.operators import gate, metrics
+from freshhaul.operators import gate, metrics, sampling
 from freshhaul.plans.training import CLASSIFIER, train_and_gate
 from freshhaul.sinks import tables
 
@@ -139,3 +141,60 @@ def test_train_and_gate(spark, readings, tmp_path):
     assert sorted(r["count"] for r in live) == [1, 1] and registry.count() == 4
     log = tables.read_log(spark, f"{out}/model_metrics", "model_metrics")
     assert log.count() == 2 and log.filter("f1_score IS NULL").count() == 0
+
+
+def _partitions_of_fit(monkeypatch, estimator):
+    """Row counts of the partitions that an estimator is fitted on."""
+    counts, fit = [], estimator.fit
+
+    def counted(self, dataset):
+        counts.append(dataset.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(estimator, "fit", counted)
+    return counts
+
+
+def _many(rated, rows):
+    parts = [rated.withColumn("event_id", F.concat("event_id", F.lit(f"-{i}"))) for i in range(rows // 1000)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.coalesce(1)
+
+
+def test_forest_is_trained_and_scored_by_all_tasks(spark, rated, monkeypatch):
+    assert rated.count() == 1000
+    rows = _many(rated, 40_000)
+    counts = _partitions_of_fit(monkeypatch, classifier.RandomForestClassifier)
+    model = classifier.train_classifier(rows, numTrees=2, maxDepth=2)
+    assert len(counts[0]) == 4 and sum(counts[0]) == 40_000 and max(counts[0]) < 11_000
+    scored = classifier.score(rows, model)
+    assert scored.rdd.getNumPartitions() == 4 and scored.count() == 40_000
+    # Few rows stay in the tasks where they are.
+    classifier.train_classifier(rated.coalesce(1), numTrees=2, maxDepth=2)
+    assert counts[1] == [1000]
+
+
+def test_kept_sequences_have_tasks_of_bounded_rows(spark, rated, monkeypatch):
+    counts = _partitions_of_fit(monkeypatch, shelf_life.GBTRegressor)
+    shelf_life.train_shelf_life(_many(rated, 40_000), maxIter=1, maxDepth=2)
+    assert len(counts[0]) == 4 and max(counts[0]) < 20_000
+    assert sampling.tasks_for(rated, 36_000_000) == 180
+
+
+def test_permutation_importance_equals_scoring_every_swap(spark, rated, model):
+    rows = rated.limit(300).persist()
+    got = {r.feature: r.accuracy_loss for r in classifier.permutation_importance(rows, model).collect()}
+    inputs = classifier.with_inputs(rows).select("event_id", "spoiled", *classifier.INPUTS).collect()
+    inputs.sort(key=lambda r: (hashlib.md5(f"{r.event_id}:42".encode()).hexdigest(), r.event_id))
+    cases = []
+    for at, row in enumerate(inputs):
+        x, z = ([float(r[c]) for c in classifier.INPUTS] for r in (row, inputs[(at + 1) % len(inputs)]))
+        cases.append((-1, row.spoiled, Vectors.dense(x)))
+        cases += [(k, row.spoiled, Vectors.dense([*x[:k], z[k], *x[k + 1 :]])) for k in range(len(x))]
+    tested = model.stages[-1].transform(spark.createDataFrame(cases, ["k", "y", "features"]))
+    hits = dict(tested.groupBy("k").agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).collect())
+    for k, name in enumerate(classifier.INPUTS):
+        assert got[name] == pytest.approx(hits[-1] - hits[k], abs=1e-12)
+    assert classifier.permutation_importance(rows.filter("false"), model).count() == 0
