@@ -23,7 +23,7 @@ from freshhaul.session import scratch_path
 
 BASE = "(base)"
 CLASSES = ["p_fresh", "p_at_risk", "p_spoiled"]
-ROWS, LEAVES = 256, 256  # pieces of rows and leaves that are worked on at a time
+ROWS, LEAVES = 256, 256  # pieces of rows and of a tree's leaves that are worked on at a time
 
 
 def forest_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
@@ -42,8 +42,8 @@ def forest_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
     )
 
 
-def leaf_paths(nodes: DataFrame) -> list[tuple[list[float], dict[int, tuple[float, float, float]]]]:
-    """(class shares, {feature: (low, high, share)}) of each leaf of the forest.
+def leaf_paths(nodes: DataFrame) -> list[list[tuple[list[float], dict[int, tuple[float, float, float]]]]]:
+    """For each tree, (class shares, {feature: (low, high, share)}) of each of its leaves.
 
     A row takes the path where low < value <= high holds for each of its features; share is
     the part of the training weight that the feature's splits let through. The size is that
@@ -53,8 +53,9 @@ def leaf_paths(nodes: DataFrame) -> list[tuple[list[float], dict[int, tuple[floa
     trees: dict[int, dict[int, object]] = {}
     for node in nodes.collect():
         trees.setdefault(node.tree, {})[node.id] = node
-    leaves = []
+    forest = []
     for tree in trees.values():
+        leaves = []
         todo: list[tuple[int, dict[int, tuple[float, float, float]]]] = [(0, {})]
         while todo:
             place, path = todo.pop()
@@ -70,29 +71,31 @@ def leaf_paths(nodes: DataFrame) -> list[tuple[list[float], dict[int, tuple[floa
             ):
                 passed = share * sum(tree[child].weights) / weight
                 todo.append((child, path | {node.feature: (*bounds, passed)}))
-    return leaves
+        forest.append(leaves)
+    return forest
 
 
-def _explainer(leaves: list, inputs: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Task function: rows (key, x) to (key, values), inputs x classes, the base last."""
+def _tree_values(leaves: list, used: list[int]) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+    """Base of a tree, and a function from rows of x to their values, (used inputs x classes) columns."""
     longest = max(1, max(len(path) for _, path in leaves))
-    classes = len(leaves[0][0])
+    inputs, classes = len(used), len(leaves[0][0])
+    place = {number: at for at, number in enumerate(used)}
     feature = np.full((len(leaves), longest), inputs)  # short paths end in factors of one
     low, high = np.full(feature.shape, -np.inf), np.full(feature.shape, np.inf)
     share = np.ones(feature.shape)
     for at, (_, path) in enumerate(leaves):
         for slot, (number, (below, above, passed)) in enumerate(path.items()):
-            feature[at, slot], low[at, slot], high[at, slot] = number, below, above
+            feature[at, slot], low[at, slot], high[at, slot] = place[number], below, above
             share[at, slot] = passed
     value = np.array([shares for shares, _ in leaves])
     base = (value * share.prod(1)[:, None]).sum(0)
     points, weights = np.polynomial.legendre.leggauss((longest + 1) // 2)
     u, weights = (points + 1) / 2, weights / 2
-    rows_at_once, leaves_at_once = ROWS, LEAVES
+    leaves_at_once = LEAVES
 
     def values(x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), (inputs + 1) * classes))
-        x = np.vstack([x.T, np.zeros(len(x))])
+        x = np.vstack([x[:, used].T, np.zeros(len(x))])
         for start in range(0, len(feature), leaves_at_once):
             piece = slice(start, start + leaves_at_once)
             f, z = feature[piece], share[piece][..., None]
@@ -110,15 +113,65 @@ def _explainer(leaves: list, inputs: int) -> Callable[[Iterator[pd.DataFrame]],
             to = np.zeros((f.size, inputs + 1, classes))
             to[np.arange(f.size), f.ravel()] = np.repeat(value[piece], f.shape[1], axis=0)
             out += parts.reshape(f.size, -1).T @ to.reshape(f.size, -1)
-        out[:, inputs * classes :] = base
-        return out
+        return out[:, : inputs * classes]
+
+    return base, values
+
+
+def _explainer(forest: list, inputs: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Task function: rows (key, x) to (key, values), inputs x classes, the base last.
+
+    The values of a tree depend only on the side of each of its splits that a row is on.
+    Rows of a batch that are alike in that are worked out once for the tree.
+    """
+    classes = len(forest[0][0][0])
+    ends: dict[int, set[float]] = {}
+    for leaves in forest:
+        for _, path in leaves:
+            for number, (below, above, _) in path.items():
+                ends.setdefault(number, set()).update(t for t in (below, above) if np.isfinite(t))
+    cuts = {number: np.array(sorted(found)) for number, found in ends.items()}
+    base, trees = np.zeros(classes), []
+    for leaves in forest:
+        used = sorted({number for _, path in leaves for number in path})
+        own, values = _tree_values(leaves, used)
+        base += own
+        steps = {}  # side of the tree's splits for each side of the forest's
+        for number in used:
+            mine = {t for _, path in leaves if number in path for t in path[number][:2]}
+            steps[number] = np.concatenate([[0], np.cumsum([t in mine for t in cuts[number]])])
+        columns = [number * classes + c for number in used for c in range(classes)]
+        trees.append((steps, values, columns))
+    rows_at_once = ROWS
+
+    def alike(sides: dict[int, np.ndarray], steps: dict[int, np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """A row of each kind that the tree can tell apart, and the kind of each row."""
+        code, size = np.zeros(n, dtype=np.int64), 1
+        for number, step in steps.items():
+            if size * (int(step[-1]) + 1) >= 2**62:
+                code = np.unique(code, return_inverse=True)[1]
+                size = n
+            size *= int(step[-1]) + 1
+            code = code * (step[-1] + 1) + step[sides[number]]
+        _, first, kind = np.unique(code, return_index=True, return_inverse=True)
+        return first, kind
+
+    def explained(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(((inputs + 1) * classes, len(x)))
+        sides = {number: np.searchsorted(cut, x[:, number]) for number, cut in cuts.items()}
+        for steps, values, columns in trees:
+            first, kind = alike(sides, steps, len(x))
+            pieces = [values(x[first[at : at + rows_at_once]]) for at in range(0, len(first), rows_at_once)]
+            for column, found in zip(columns, np.concatenate(pieces).T):
+                out[column] += found[kind]
+        out[inputs * classes :] = base[:, None]
+        return np.ascontiguousarray(out.T)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), rows_at_once):
-                rows = batch.iloc[start : start + rows_at_once]
-                found = values(np.array(rows["x"].tolist(), dtype=float))
-                yield pd.DataFrame({"key": rows["key"].to_numpy(), "v": list(found)})
+            if len(batch):
+                found = explained(np.array(batch["x"].tolist(), dtype=float))
+                yield pd.DataFrame({"key": batch["key"].to_numpy(), "v": list(found)})
 
     return run
 
@@ -128,16 +181,16 @@ def explain(df: DataFrame, model: PipelineModel, key: str = "event_id") -> DataF
 
     One row per input and one named ``(base)``, the mean score of the training rows; those
     of one key add up to its probabilities. Every row is explained where it lies, without a
-    shuffle; a task holds the model and 256 rows. Rows without a key are explained as well;
+    shuffle; a task holds the model and an Arrow batch. Rows without a key are explained as well;
     an empty table gives no rows.
     """
-    leaves = leaf_paths(forest_nodes(df.sparkSession, model))
-    classes = len(leaves[0][0])
+    forest = leaf_paths(forest_nodes(df.sparkSession, model))
+    classes = len(forest[0][0][0])
     drawn = with_inputs(df.withColumn("_key", F.col(key))).select(
         F.col("_key").alias("key"), F.array(*[F.col(c).cast("double") for c in INPUTS]).alias("x")
     )
     kind = drawn.schema["key"].dataType.simpleString()
-    found = drawn.mapInPandas(_explainer(leaves, len(INPUTS)), f"key {kind}, v array<double>")
+    found = drawn.mapInPandas(_explainer(forest, len(INPUTS)), f"key {kind}, v array<double>")
     named = F.array(*[F.lit(name) for name in [*INPUTS, BASE]])
     each = found.select("key", "v", F.posexplode(named).alias("at", "feature"))
     share = [F.get("v", F.col("at") * classes + c) if c < classes else F.lit(0.0) for c in range(len(CLASSES))]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 from math import factorial
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,24 @@ def test_mean_contributions(fitted):
         assert value == pytest.approx(sum(parts[name]) / 50)
     assert any(value > 0.01 for value in found.values())
     explained.unpersist()
+
+
+def test_alike_rows_are_worked_out_once(spark, fitted, monkeypatch):
+    """Rows on the same sides of a tree's splits have its values from one calculation."""
+    rows, model = fitted
+    forest = explain.leaf_paths(explain.forest_nodes(spark, model))
+    x = [[float(r[c]) for c in INPUTS] for r in classifier.with_inputs(rows.limit(40)).collect()]
+    seen, make = [], explain._tree_values
+
+    def counted(leaves, used):
+        base, values = make(leaves, used)
+        return base, lambda part: (seen.append(len(part)), values(part))[1]
+
+    monkeypatch.setattr(explain, "_tree_values", counted)
+    run = explain._explainer(forest, len(INPUTS))
+    many = pd.DataFrame({"key": range(4000), "x": x * 100})
+    out = pd.concat(run(iter([many])))
+    assert sum(seen) <= 40 * len(forest)
+    alone = pd.concat(run(iter([many.iloc[i : i + 1] for i in range(40)])))
+    for i in range(4000):
+        assert out.v.iloc[i] == pytest.approx(alone.v.iloc[i % 40], abs=1e-12)
