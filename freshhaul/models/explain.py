@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshhaul.models.classifier import INPUTS, with_inputs
+from freshhaul.models.forest import StoredForest, node_table
 from freshhaul.session import scratch_path
 
 BASE = "(base)"
@@ -26,20 +27,13 @@ CLASSES = ["p_fresh", "p_at_risk", "p_spoiled"]
 ROWS, LEAVES = 256, 256  # pieces of rows and of a tree's leaves that are worked on at a time
 
 
-def forest_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def forest_nodes(spark: SparkSession, model: PipelineModel | StoredForest) -> DataFrame:
     """One row per node of the stored forest: tree, id, children, split and class weights."""
+    if isinstance(model, StoredForest):
+        return model.nodes()
     path = scratch_path(spark, "forest")
     model.stages[-1].write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    return nodes.select(
-        F.col("treeID").alias("tree"),
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-        F.col("nodeData.impurityStats").alias("weights"),
-    )
+    return node_table(spark, path)
 
 
 def leaf_paths(nodes: DataFrame) -> list[list[tuple[list[float], dict[int, tuple[float, float, float]]]]]:
@@ -176,7 +170,7 @@ def _explainer(forest: list, inputs: int) -> Callable[[Iterator[pd.DataFrame]],
     return run
 
 
-def explain(df: DataFrame, model: PipelineModel, key: str = "event_id") -> DataFrame:
+def explain(df: DataFrame, model: PipelineModel | StoredForest, key: str = "event_id") -> DataFrame:
     """(key, feature, p_fresh, p_at_risk, p_spoiled): what each input adds to each probability.
 
     One row per input and one named ``(base)``, the mean score of the training rows; those
